@@ -19,6 +19,11 @@ ENTITY_STRUCT = "array<struct<text:string,label:string>>"
 LEGACY_LABEL_SUFFIX = r" \((ORG|PERSON|PRODUCT|GPE)\)$"
 
 
+def _labeller(label: str):
+    # one-argument lambda: F.transform passes (element, index) to two-argument ones
+    return lambda m: F.struct(strip_ws(m).alias("text"), F.lit(label).alias("label"))
+
+
 def extract_entities(text: Column, patterns: list[tuple[str, str, int]],
                      labels: set[str] | None = None) -> Column:
     """``array<struct<text, label>>`` of distinct non-empty matches."""
@@ -27,8 +32,7 @@ def extract_entities(text: Column, patterns: list[tuple[str, str, int]],
         if labels is not None and label not in labels:
             continue
         found = F.regexp_extract_all(text, F.lit(pattern), group)
-        parts.append(F.transform(found, lambda m, lb=label: F.struct(strip_ws(m).alias("text"),
-                                                                    F.lit(lb).alias("label"))))
+        parts.append(F.transform(found, _labeller(label)))
     if not parts:
         return F.array().cast(ENTITY_STRUCT)
     pairs = F.flatten(F.array(*parts))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import distance as vec_distance
 from ..functions.ranking import top_n
 from ..functions.text import ws_tokens
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 
 # --- fixed values: BM25 (Okapi) and RRF defaults ---------------------------------
 BM25_K1 = 1.5
@@ -56,8 +56,27 @@ def _doc_keys(corpus: DataFrame) -> Column:
 
 
 # ------------------------------------------------------------------ BM25 (X11)
-def bm25_search(corpus: DataFrame, queries: DataFrame, n: int = 10,
-                k1: float = BM25_K1, b: float = BM25_B, epsilon: float = BM25_EPSILON) -> DataFrame:
+def bm25_index(corpus: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Inverted index ``(pred_key, id, dl, term, tf)`` in one pass.
+
+    Each document also gets one row with ``term = NULL`` carrying its
+    length, so N and avgdl (which count documents without tokens too) come
+    from the same table.  ``keys`` (one column ``pred_key``) restricts the
+    filter keys that are expanded.
+    """
+    docs = corpus.select(F.col("id"), ws_tokens("document").alias("tokens"),
+                         F.explode(_doc_keys(corpus)).alias("pred_key"))
+    if keys is not None:
+        docs = docs.join(F.broadcast(keys), "pred_key", "left_semi")
+    terms = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
+    rows = docs.select("pred_key", "id", F.size("tokens").alias("dl"), F.explode(terms).alias("term"))
+    return (rows.groupBy("pred_key", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+            .withColumn("tf", F.when(F.col("term").isNull(), F.lit(0)).otherwise(F.col("tf"))))
+
+
+def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
+                k1: float = BM25_K1, b: float = BM25_B, epsilon: float = BM25_EPSILON,
+                index: DataFrame | None = None) -> DataFrame:
     """Okapi BM25 top-``n`` per query, distances ``1 - minmax(score)``.
 
     Semantics (fixed): tokens are ``lower().split()``; every document of the
@@ -68,33 +87,32 @@ def bm25_search(corpus: DataFrame, queries: DataFrame, n: int = 10,
     normalisation puts the best hit at distance 0, a weak-evidence guard on
     these distances only fires for empty or all-tied results.
 
-    Plan: postings (doc, term, tf, dl) are built per filter key once and
-    joined to the broadcast query terms on (key, term); scores aggregate by
-    (query, doc).  Documents without a hit are never paired with queries:
-    only the ``2n`` smallest ids per key are offered as zero-score fillers.
+    Plan: the inverted index (:func:`bm25_index`) is built once and
+    written as Parquet to the shared checkpoint folder (or passed in prebuilt);
+    query terms -- a size-checked broadcast -- join it on (key, term) and
+    scores aggregate by (query, doc).  Documents without a hit are never
+    paired with queries: only the ``2n`` smallest ids per key are offered
+    as zero-score fillers.
     """
-    qk = _with_keys(queries).select("query_id", "query", "pred_key")
-    qk = bounded_broadcast(qk)
-    used = bounded_broadcast(qk.select("pred_key").distinct())
-
-    docs = corpus.select(F.col("id"), ws_tokens("document").alias("tokens"),
-                         F.explode(_doc_keys(corpus)).alias("pred_key"))
-    docs = docs.join(used, "pred_key", "left_semi").withColumn("dl", F.size("tokens"))
-
-    kstats = docs.groupBy("pred_key").agg(F.count(F.lit(1)).alias("N"),
-                                          F.avg("dl").alias("avgdl"))
-    postings = (docs.select("pred_key", "id", "dl", F.explode("tokens").alias("term"))
-                .groupBy("pred_key", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
-
-    vocab = postings.groupBy("pred_key", "term").agg(F.count(F.lit(1)).alias("df"))
-    vocab = vocab.join(F.broadcast(kstats), "pred_key").withColumn(
-        "idf0", F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+    qk = bounded_broadcast(_with_keys(queries).select("query_id", "query", "pred_key"))
+    # Everything below derived from the query table has at most one row per
+    # query (or per query term), so the row check above bounds it as well.
+    if index is None:
+        used = qk.select("pred_key").distinct()
+        index = materialize(bm25_index(corpus, used), "bm25-index")
+
+    docs = index.where(F.col("term").isNull()).select("pred_key", "id", "dl")
+    postings = index.where(F.col("term").isNotNull())
+    kstats = docs.groupBy("pred_key").agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
+
+    vocab = (postings.groupBy("pred_key", "term").agg(F.count(F.lit(1)).alias("df"))
+             .join(F.broadcast(kstats), "pred_key")
+             .withColumn("idf0", F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)))
     avg_idf = vocab.groupBy("pred_key").agg(F.avg("idf0").alias("avg_idf"))
 
     qterms = (qk.select("query_id", "pred_key", F.explode(ws_tokens("query")).alias("term"))
               .groupBy("query_id", "pred_key", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    qterms = bounded_broadcast(qterms)
-    qidf = (vocab.join(qterms.select("pred_key", "term").distinct(), ["pred_key", "term"], "left_semi")
+    qidf = (vocab.join(F.broadcast(qterms.select("pred_key", "term").distinct()), ["pred_key", "term"], "left_semi")
             .join(F.broadcast(avg_idf), "pred_key")
             .select("pred_key", "term", "avgdl",
                     F.when(F.col("idf0") < 0, F.lit(epsilon) * F.col("avg_idf"))
@@ -106,6 +124,9 @@ def bm25_search(corpus: DataFrame, queries: DataFrame, n: int = 10,
     hits = (postings.join(F.broadcast(qt), ["pred_key", "term"])
             .groupBy("query_id", "id").agg(F.sum(contrib).alias("raw"))
             .select("query_id", "id", F.round("raw", SCORE_DIGITS).alias("s")))
+    # hits feed three consumers (stats, candidates, negative-score path):
+    # write them once so the tail of the plan starts from a scan.
+    hits = materialize(hits, "bm25-hits")
 
     hstats = (hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("H"), F.min("s").alias("hmin"),
                                            F.max("s").alias("hmax")))
@@ -120,11 +141,11 @@ def bm25_search(corpus: DataFrame, queries: DataFrame, n: int = 10,
         .otherwise(F.col("hmin")).alias("smin"),
         F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.greatest("hmax", F.lit(0.0)))
         .otherwise(F.col("hmax")).alias("smax"))
-    qstats = bounded_broadcast(qstats)
 
     # Zero-score fillers: the 2n smallest ids per key.  Exact whenever no hit
     # scores below 0 (a hit inside the window then ranks ahead of any later
-    # filler); queries with a negative hit take the anti-join path below.
+    # filler); queries with a negative hit take the anti-join path below,
+    # which is empty -- and pruned at run time by AQE -- otherwise.
     window_ids = top_n(docs.select("pred_key", "id"), ["pred_key"], [F.col("id")], 2 * n, "_r")
     fill = qk.select("query_id", "pred_key").join(window_ids, "pred_key").select(
         "query_id", "id", F.lit(0.0).alias("s"), F.lit(0).alias("hit"))
@@ -136,7 +157,7 @@ def bm25_search(corpus: DataFrame, queries: DataFrame, n: int = 10,
 
     cands = reduce(DataFrame.unionByName,
                    [hits.withColumn("hit", F.lit(1)), fill, fill_neg])
-    cands = cands.join(qstats.select("query_id", "smin", "smax"), "query_id").withColumn(
+    cands = cands.join(F.broadcast(qstats.select("query_id", "smin", "smax")), "query_id").withColumn(
         "norm", F.when(F.col("smax") > F.col("smin"),
                        (F.col("s") - F.col("smin")) / (F.col("smax") - F.col("smin")))
         .otherwise(F.lit(0.0)))

@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..functions.predicates import doc_pred_keys
 from ..operators import sentiment as S
 from ..operators.entities import extract_entities
+from ..session import constant_table
 from ..sources.tables import read_table
 from .fixtures import ENTITY_PATTERNS, EVAL_QUERIES, LEXICON_A
 
@@ -75,9 +76,9 @@ def lexical_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def eval_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evaluation query table; dense query vectors come from ``embeddings``."""
     rows = [(qid, q, kws, topics, vec) for qid, q, kws, topics, vec in EVAL_QUERIES]
-    qs = spark.createDataFrame(
-        rows, "query_id string, query string, expected_keywords array<string>, "
-              "expected_topic_ids array<int>, vec_id long")
+    qs = constant_table(
+        spark, rows, "query_id string, query string, expected_keywords array<string>, "
+                     "expected_topic_ids array<int>, vec_id long")
     v = read_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("qvec"))
     return qs.join(v, "vec_id", "left").drop("vec_id")
 

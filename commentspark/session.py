@@ -75,3 +75,34 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts lineage, survives executor loss, and later scans get column
+    pruning and filter pushdown.  Each call writes a fresh folder."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def constant_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small constant table built JVM-side (``inline`` of a literal array of
+    structs): no Python workers are needed to scan it."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    structs = []
+    for r in rows:
+        fields = []
+        for v, f in zip(r, st.fields):
+            if isinstance(v, (list, tuple)):
+                lit = F.array(*[F.lit(x) for x in v]).cast(f.dataType) if v else F.array().cast(f.dataType)
+            else:
+                lit = F.lit(v).cast(f.dataType)
+            fields.append(lit.alias(f.name))
+        structs.append(F.struct(*fields))
+    return spark.range(1).select(F.inline(F.array(*structs)))
