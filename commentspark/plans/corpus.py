@@ -112,7 +112,9 @@ def sql_ctes(*extra: str) -> str:
         f"{S.sql_subjectivity('mltoks', LEXICON_A)} AS sentiment_subjectivity FROM enriched0)",
         "idx AS (SELECT 'comment_' || e.video_id || '_' || e.comment_id AS id, e.doc_id, e.video_id, e.comment_id, "
         "e.clean_text AS document, e.sentiment_polarity, e.sentiment_subjectivity, v.label AS topic_id, "
-        "v.embedding FROM enriched e JOIN embeddings v ON v.vec_id = e.doc_id)",
+        "v.embedding, list_filter(['all', CASE WHEN e.sentiment_polarity < -0.1 THEN 'neg' "
+        "WHEN e.sentiment_polarity > 0.1 THEN 'pos' END, 'topic:' || CAST(v.label AS VARCHAR)], lambda k: k IS NOT NULL) AS pred_keys "
+        "FROM enriched e JOIN embeddings v ON v.vec_id = e.doc_id)",
         "lexcorp AS (SELECT 'comment_' || video_id || '_' || comment_id AS id, clean_text AS document FROM cleaned)",
         f"evalq AS (SELECT q.query_id, q.query, q.expected_keywords, q.expected_topic_ids, v.embedding AS qvec "
         f"FROM {sql_eval_queries_values()} LEFT JOIN embeddings v ON v.vec_id = q.vec_id)".replace(
