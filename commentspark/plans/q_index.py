@@ -1 +1,153 @@
-"""Plans (filled in below)."""
+"""Index plans: X9 (with P10, P3, F8-F10, F13, J1, A20, S5-S7), S1/L1/U1
+landed-page ingest, U3, X8, Z1, Z2."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..functions.scalars import sql_sanitize_json_list
+from ..operators import index as IX
+from ..operators.entities import sql_entity_rows
+from ..session import shared_path
+from . import corpus as C
+from .catalog import register, sql_typed, typed
+from .fixtures import ENTITY_PATTERNS
+
+S_X9 = [("id", "string"), ("video_id", "string"), ("comment_id", "string"), ("sentiment_polarity", "double"),
+        ("sentiment_subjectivity", "double"), ("entities", "string"), ("entities_truncated", "bigint"),
+        ("topic_id", "bigint")]
+
+
+def _sql(ctes, final):
+    return C.sql_ctes(*ctes) + "\n" + final
+
+
+def _x9_ctes():
+    ents = sql_entity_rows("clean_text", ENTITY_PATTERNS)
+    return [
+        f"xe0 AS (SELECT doc_id, {ents} AS l FROM cleaned)",
+        "xe1 AS (SELECT doc_id, CAST(to_json(list_filter(l, lambda x, i: NOT list_contains(l[1:i-1], x))) AS VARCHAR) AS ej FROM xe0)",
+        f"xr AS (SELECT i.*, {sql_sanitize_json_list('xe1.ej')} AS fj FROM idx i JOIN xe1 USING (doc_id))",
+    ]
+
+
+@register("x9_index_build", lambda: _sql(_x9_ctes(),
+    "SELECT id, video_id, comment_id, round(sentiment_polarity, 6) AS sentiment_polarity, "
+    "round(sentiment_subjectivity, 6) AS sentiment_subjectivity, left(fj, 800) AS entities, "
+    "CAST(length(fj) > 800 AS BIGINT) AS entities_truncated, CAST(topic_id AS BIGINT) AS topic_id FROM xr"))
+def x9_index_build(spark, sf):
+    """Build the Parquet index in a fresh shared folder (append, partitioned
+    by video), then scan it back with column pruning."""
+    path = shared_path(spark, "index-" + __import__("uuid").uuid4().hex[:12])
+    rows = C.index_rows(spark, sf).withColumnRenamed("document", "clean_text").drop("pred_keys")
+    IX.build_index(spark, rows, path)
+    return typed(spark.read.parquet(path).withColumn("entities_truncated", F.col("entities_truncated").cast("long")), S_X9)
+
+
+S_A20 = [("run", "bigint"), ("candidates", "bigint"), ("skipped_existing", "bigint"), ("added", "bigint"),
+         ("truncated", "bigint")]
+
+
+@register("a20_incremental_counters", lambda: _sql(_x9_ctes(),
+    "SELECT 1 AS run, CAST(count(*) AS BIGINT) AS candidates, CAST(0 AS BIGINT) AS skipped_existing, "
+    "CAST(count(*) AS BIGINT) AS added, CAST(count_if(length(fj) > 800) AS BIGINT) AS truncated FROM xr UNION ALL "
+    "SELECT 2, count(*), count(*), 0, count_if(length(fj) > 800) FROM xr"))
+def a20_incremental_counters(spark, sf):
+    """Two runs over the same input: the second skips every id (J1 anti-join)."""
+    path = shared_path(spark, "index-" + __import__("uuid").uuid4().hex[:12])
+    rows = C.index_rows(spark, sf).withColumnRenamed("document", "clean_text").drop("pred_keys")
+    c1 = IX.build_index(spark, rows, path).withColumn("run", F.lit(1))
+    c2 = IX.build_index(spark, rows, path).withColumn("run", F.lit(2))
+    return typed(c1.unionByName(c2), S_A20)
+
+
+S_J1 = [("id", "string")]
+
+
+@register("j1_left_anti_new_ids", lambda: _sql([],
+    "SELECT 'comment_' || video_id || '_' || comment_id AS id FROM cleaned "
+    "WHERE doc_id NOT IN (SELECT doc_id FROM idx)"))
+def j1_left_anti_new_ids(spark, sf):
+    """New comments not yet in the index (the index holds the embedded ones)."""
+    new = C.cleaned(spark, sf).select(F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"))
+    have = C.index_rows(spark, sf).select("id")
+    return typed(new.join(have, "id", "left_anti"), S_J1)
+
+
+@register("u3_except_all", lambda: _sql([],
+    "SELECT 'comment_' || video_id || '_' || comment_id AS id FROM cleaned EXCEPT ALL SELECT id FROM idx"))
+def u3_except_all(spark, sf):
+    """Whole-row bag difference of id sets (``exceptAll``)."""
+    new = C.cleaned(spark, sf).select(F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"))
+    return typed(new.exceptAll(C.index_rows(spark, sf).select("id")), S_J1)
+
+
+S_S1 = [("video_id", "string"), ("comment_id", "string"), ("author", "string"), ("comment_text", "string"),
+        ("likes", "bigint"), ("published_at", "string")]
+TARGET = 10000
+
+
+@register("s1_landed_json_ingest", lambda: (
+    "SELECT video_id, comment_id, author, comment_text, likes, published_at FROM (SELECT CAST(source AS VARCHAR) AS video_id, CAST(doc_id AS VARCHAR) AS comment_id, "
+    "CAST(NULL AS VARCHAR) AS author, " + T.sql_strip_ws("coalesce(text, '')") + " AS comment_text, "
+    "CAST(n_chars AS BIGINT) AS likes, CAST(NULL AS VARCHAR) AS published_at, doc_id FROM documents) "
+    f"WHERE comment_text <> '' ORDER BY video_id, doc_id LIMIT {TARGET}"))
+def s1_landed_json_ingest(spark, sf):
+    """Comments landed as nested API pages (100 items per page) in the
+    shared folder, read back with an explicit schema, flattened, blank text
+    dropped, capped at the 10,000-row target in source order."""
+    from ..sources.tables import read_table
+    d = read_table(spark, sf, "documents")
+    comments = d.select("doc_id", F.col("source").alias("video_id"), F.col("doc_id").cast("string").alias("comment_id"),
+                        F.lit(None).cast("string").alias("author"), F.col("text").alias("comment_text"),
+                        F.col("n_chars").alias("likes"), F.lit(None).cast("string").alias("published_at"))
+    path = shared_path(spark, "landed-" + __import__("uuid").uuid4().hex[:12])
+    IX.land_pages(comments, path)
+    rows = IX.flatten_pages(IX.read_pages(spark, path))
+    capped = IX.cap_rows(rows, [F.col("video_id"), F.col("comment_id").cast("long")], TARGET)
+    return typed(capped, S_S1)
+
+
+S_X8 = [("doc_id", "bigint"), ("dims", "bigint"), ("norm", "double")]
+
+
+@register("x8_hashing_embeddings")
+def x8_hashing_embeddings(spark, sf):
+    """Native encoder (hashed term counts, L2-normalised) over every comment.
+    Rows-only: hashing has no SQL twin."""
+    from ..functions.ranking import norm2
+    c = C.cleaned(spark, sf).select("doc_id", F.col("clean_text").alias("document"))
+    e = IX.hashing_encoder(c)
+    return typed(e.select("doc_id", F.size("embedding").alias("dims"), norm2(F.col("embedding")).alias("norm")), S_X8)
+
+
+@register("z1_stream_incremental_index")
+def z1_stream_incremental_index(spark, sf):
+    """Structured Streaming: landed pages -> availableNow trigger ->
+    foreachBatch incremental index append (twice: the replay adds nothing).
+    Rows-only."""
+    from ..streaming.index_stream import run_stream_index
+    from ..sources.tables import read_table
+    d = read_table(spark, sf, "documents")
+    comments = d.select("doc_id", F.col("source").alias("video_id"), F.col("doc_id").cast("string").alias("comment_id"),
+                        F.lit(None).cast("string").alias("author"), F.col("text").alias("comment_text"),
+                        F.col("n_chars").alias("likes"), F.lit(None).cast("string").alias("published_at"))
+    index_path = run_stream_index(spark, comments, runs=2)
+    return typed(spark.read.parquet(index_path).select("id", "video_id", "comment_id"),
+                 [("id", "string"), ("video_id", "string"), ("comment_id", "string")])
+
+
+@register("z2_stream_dedup")
+def z2_stream_dedup(spark, sf):
+    """Structured Streaming de-duplication by comment id within a watermark
+    over pages landed twice.  Rows-only (equals the batch dropDuplicates)."""
+    from ..streaming.index_stream import stream_dedup
+    from ..sources.tables import read_table
+    d = read_table(spark, sf, "documents")
+    comments = d.select("doc_id", F.col("source").alias("video_id"), F.col("doc_id").cast("string").alias("comment_id"),
+                        F.lit(None).cast("string").alias("author"), F.col("text").alias("comment_text"),
+                        F.col("n_chars").alias("likes"),
+                        F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")),
+                                      "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_at"))
+    return typed(stream_dedup(spark, comments), [("comment_id", "string"), ("video_id", "string")])
