@@ -22,7 +22,8 @@ def safe_float(c: Column, default: float = 0.0) -> Column:
 def safe_int(c: Column, default: int = -1) -> Column:
     """``int(x)`` semantics: integer strings parse, '3.0' does not; doubles
     truncate toward zero; NaN/NULL give the default."""
-    return F.coalesce(c.try_cast("long"), F.lit(default))
+    nan = F.coalesce(F.isnan(c.try_cast("double")), F.lit(False))
+    return F.when(nan, F.lit(default)).otherwise(F.coalesce(c.try_cast("long"), F.lit(default)))
 
 
 def sql_safe_int_str(x: str, default: int = -1) -> str:
