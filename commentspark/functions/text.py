@@ -8,10 +8,6 @@ helpers build the DuckDB twin of each function from the same constants.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,23 +104,30 @@ def sql_ml_tokens(x: str) -> str:
 
 
 # F4 ---------------------------------------------------------------------------
-@functools.lru_cache(maxsize=1)
-def default_stop_words() -> tuple[str, ...]:
-    """Spark ML's English stop-word list, read from the Spark ML jar
-    (the same list ``StopWordsRemover.loadDefaultStopWords('english')`` gives)."""
-    import pyspark
+# The English stop-word list that Spark ML's StopWordsRemover loads, in its order.
+ENGLISH_STOP_WORDS = tuple("""
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+    hers herself it its itself they them their theirs themselves what which who whom this that these
+    those am is are was were be been being have has had having do does did doing a an the and but if or
+    because as until while of at by for with about against between into through during before after
+    above below to from up down in out on off over under again further then once here there when where
+    why how all any both each few more most other some such no nor not only own same so than too very s
+    t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+    they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+    weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+    couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+    would
+""".split())
+
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            data = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-            return tuple(w for w in data.split() if w)
-    raise FileNotFoundError("Spark ML jar with the English stop-word list not found")
+def default_stop_words() -> tuple[str, ...]:
+    return ENGLISH_STOP_WORDS
 
 
 def remove_stop_words(tokens: Column, stop_words: tuple[str, ...] | None = None) -> Column:
-    stop = F.array(*[F.lit(w) for w in (stop_words or default_stop_words())])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    # isin over literals is a hash set probe, not a scan of the list.
+    words = list(stop_words or default_stop_words())
+    return F.filter(tokens, lambda t: ~t.isin(words))
 
 
 def sql_stop_list(stop_words: tuple[str, ...] | None = None) -> str:

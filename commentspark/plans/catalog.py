@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
+# A twin may be a callable: it is built only when the SQL is asked for.
+ORACLE: dict[str, str | Callable[[], str]] = {}
 
 
 def register(name: str, sql: str | Callable[[], str] | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         REGISTRY[name] = fn
         if sql is not None:
-            ORACLE[name] = sql() if callable(sql) else sql
+            ORACLE[name] = sql
         return fn
     return deco
 
