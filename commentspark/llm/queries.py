@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common
+from . import bpe, common, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -25,3 +25,12 @@ def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.decode(ids.withColumn("coded", F.col("ids")), vocab, public_tokenizers.PATTERN)
     return both.select("doc_id", (F.length("coded") / 4).cast("long").alias("n_tokens"),
                        F.sha2("coded", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document tokenised, cut and packed into sequences of at most 1024 tokens."""
+    ids = packing.tokenise(common.read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    pieces = packing.cut(ids).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(common.stored(pieces, "pieces")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
