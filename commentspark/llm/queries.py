@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, packing
+from . import bpe, common, langid, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -34,3 +34,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut(ids).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(common.stored(pieces, "pieces")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those outside the held-out fold."""
+    docs = common.read(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()), public_tokenizers.path("piece_bpe_32k.model"))
+    return langid.classify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
