@@ -76,7 +76,7 @@ def _encode_column(df: DataFrame, text_col: str, path: str, pattern: str) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(path, pattern)
-        for batch in batches:
+        for batch in common.slices(batches):
             texts = batch.column(text_col)
             ids = pa.array([_ids(t.as_py() or "", enc) for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
@@ -167,7 +167,7 @@ def decode(encoded: DataFrame, vocab: str, pattern: str) -> DataFrame:
         for token, rank in enc._mergeable_ranks.items():
             table[rank] = token
         raw = table.__getitem__
-        for batch in batches:
+        for batch in common.slices(batches):
             out = []
             for ids in batch.column("ids"):
                 ids = ids.as_py()

@@ -43,3 +43,55 @@ def fresh(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def slices(batches, rows: int = 512):
+    """Small batches: what a task makes of one stays small whatever the texts' length."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
+def runs(batches, keys: list[str]):
+    """The rows of each run of equal ``keys``, as Arrow tables, of batches sorted by them."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table]).combine_chunks()
+        n = table.num_rows
+        if not n:
+            continue
+        new = np.zeros(n, bool)
+        for key in keys:
+            values = table.column(key).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = [0, *np.flatnonzero(new).tolist()]
+        for low, high in zip(starts, starts[1:], strict=False):
+            yield table.slice(low, high - low)
+        held = table.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+def block_pairs(members: DataFrame, blocks: str, block: str) -> DataFrame:
+    """Each row once for every pair (i, j), i <= j, of the blocks of its group that its own block is in:
+    all pairs of rows of a large group meet, spread over blocks x blocks / 2 tasks."""
+    pair = F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda k: F.struct(
+        F.least(k, F.col(block)).alias("i"), F.greatest(k, F.col(block)).alias("j")))
+    return members.withColumn("pair", F.explode(pair)).withColumns({"i": F.col("pair.i"), "j": F.col("pair.j")}).drop("pair")
+
+
+def local_roots(linked, ids):
+    """Smallest id that each row reaches over the symmetric boolean matrix ``linked``."""
+    import numpy as np
+
+    roots = ids.copy()
+    while True:
+        best = np.minimum(roots, np.where(linked, roots[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max))
+        if (best == roots).all():
+            return roots
+        roots = best

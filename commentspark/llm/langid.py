@@ -151,7 +151,7 @@ def train(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "
     sample = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(grain)) < share)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             counts: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for word, n in Counter(WORDS.findall((text or "").lower())).items():
@@ -201,7 +201,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         table = np.empty((REMEMBERED, len(model.langs)))
-        for batch in batches:
+        for batch in common.slices(batches):
             langs, scores = [], []
             for text in batch.column(text_col):
                 text = text.as_py() or ""

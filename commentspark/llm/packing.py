@@ -74,7 +74,7 @@ def tokenise(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = coder(vocab, pattern)
-        for batch in batches:
+        for batch in common.slices(batches):
             out = []
             for text in batch.column("text"):
                 ids = array("I", enc.encode(text.as_py(), allowed_special="all"))

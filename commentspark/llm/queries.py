@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, langid, packing
+from . import bpe, common, embed_dedup, langid, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -42,3 +42,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     model = langid.train(docs.filter(~langid.held_out()), public_tokenizers.path("piece_bpe_32k.model"))
     return langid.classify(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors against all, linked at a cosine of 0.9 or more."""
+    return embed_dedup.near_duplicates(common.read(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
