@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, packing
+from . import bpe, common, embed_dedup, langid, ngram_join, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -48,3 +48,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors against all, linked at a cosine of 0.9 or more."""
     return embed_dedup.near_duplicates(common.read(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near copies (five-word n-grams, Jaccard 0.8) and its number of links."""
+    found = ngram_join.near_copies(common.read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
