@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, ngram_join, packing
+from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing
 
 QUERIES = {}
 ORACLE = {}
@@ -55,3 +55,13 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies (five-word n-grams, Jaccard 0.8) and its number of links."""
     found = ngram_join.near_copies(common.read(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_links", "n_copies", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs in earlier documents."""
+    return line_dedup.dedup(common.read(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("n_lines").cast("long"), F.col("n_dropped").cast("long"))
+
+
+ORACLE["op8_line_dedup"] = line_dedup.dedup_sql()
