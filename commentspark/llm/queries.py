@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing
+from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii
 
 QUERIES = {}
 ORACLE = {}
@@ -65,3 +65,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_line_dedup"] = line_dedup.dedup_sql()
+
+
+@query
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document: base spans, their digest, and all spans."""
+    found = pii.candidates(common.read(spark, sf_dir, "documents")).select("doc_id", "candidates")
+    found = common.stored(found, "pii-candidates")
+    every = found.select("doc_id", pii.spans("candidates", pii.fit(found)).alias("all"))
+    of = lambda *kinds: F.filter("all", lambda s: s["kind"].isin(*kinds))
+    base = of(*pii.BASE)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return every.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"))
