@@ -42,11 +42,11 @@ ITERATIONS = 3
 #: Added to the expected uses of each piece.
 SMOOTHING = 0.05
 #: Probability of a character that no piece covers.
-UNKNOWN = 1e-9
-#: Letters between two rescalings of the forward values.
+UNKNOWN = 1e-7
+#: Letters between two rescalings of the forward values; shorter words are scored many at a time.
 RESCALE = 24
-#: Words that a task remembers.
-REMEMBERED = 200_000
+#: Words that a worker process remembers.
+REMEMBERED = 400_000
 
 MARK = "▁"
 WORDS = re.compile(r"[^\W\d_]+")
@@ -62,6 +62,7 @@ class Model:
     def __post_init__(self):
         self.longest = max(map(len, self.index), default=1)
         self.by_lang = [column.tolist() for column in self.prob.T]
+        self.name = hash((tuple(self.langs), self.prob.tobytes()))
 
 
 def pieces(path: str) -> list[str]:
@@ -104,6 +105,77 @@ def log_likelihoods(word: str, model: Model) -> list[float]:
     return [forward(steps, prob, model.longest) for prob in model.by_lang]
 
 
+class PieceTable:
+    """Pieces by the hash of their characters, looked up for whole arrays of hashes.
+
+    A piece has its slot in a first table, or in a second one where two share a slot of the first.
+    """
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, model: Model):
+        self.hashes = np.empty(len(model.index) + 1, np.uint64)
+        for piece, i in model.index.items():
+            self.hashes[i] = self.rolled(np.array([[ord(c) for c in piece]], np.uint64))[0, -1]
+        self.hashes[-1] = 0  # where a slot is empty: no piece
+        rest = np.arange(len(model.index))
+        self.tables = []
+        while len(rest):
+            slots = np.full(1 << (20 if not self.tables else 16), len(model.index), np.int32)
+            at = self.slot(self.hashes[rest], len(self.tables), len(slots))
+            first = np.unique(at, return_index=True)[1]
+            slots[at[first]] = rest[first]
+            self.tables.append(slots)
+            rest = np.delete(rest, first)
+        self.missing = len(model.index)
+        self.powers = self.BASE ** np.arange(model.longest + 1, dtype=np.uint64)
+
+    @staticmethod
+    def rolled(codes: np.ndarray) -> np.ndarray:
+        """Hashes of the first 0, 1, ... characters of each row."""
+        out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
+        for k in range(codes.shape[1]):
+            out[:, k + 1] = out[:, k] * PieceTable.BASE + codes[:, k]
+        return out
+
+    @staticmethod
+    def slot(hashes: np.ndarray, table: int, size: int) -> np.ndarray:
+        return ((hashes * np.uint64(0xBF58476D1CE4E5B9 + 2 * table)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(hashes.shape, self.missing, np.int32)
+        for k, slots in enumerate(self.tables):
+            there = slots[self.slot(hashes, k, len(slots))]
+            out = np.where(self.hashes[there] == hashes, there, out)
+        return out
+
+
+def many_log_likelihoods(words: list[str], model: Model, pieces_by_hash: PieceTable) -> np.ndarray:
+    """``log_likelihoods`` of each word, words x languages: short words of one length at a time."""
+    out = np.empty((len(words), len(model.langs)))
+    by_size: dict[int, list[int]] = {}
+    for k, word in enumerate(words):
+        by_size.setdefault(len(word), []).append(k)
+    prob = np.vstack([model.prob, np.zeros(len(model.langs))])
+    single = np.vstack([model.prob, np.full(len(model.langs), UNKNOWN)])
+    for size, members in by_size.items():
+        if size >= RESCALE:
+            for k in members:
+                out[k] = log_likelihoods(words[k], model)
+            continue
+        codes = np.frombuffer("".join(MARK + words[k] for k in members).encode("utf-32-le"), np.uint32).reshape(len(members), size + 1)
+        prefix = pieces_by_hash.rolled(codes.astype(np.uint64))
+        a = np.zeros((size + 2, len(members), len(model.langs)))
+        a[0] = 1.0
+        found = [None, *(pieces_by_hash.find(prefix[:, n:] - prefix[:, :-n] * pieces_by_hash.powers[n])
+                         for n in range(1, min(size + 1, model.longest) + 1))]
+        for i in range(size + 1):
+            for n in range(1, min(size + 1 - i, model.longest) + 1):
+                a[i + n] += a[i] * (single if n == 1 else prob)[found[n][:, i]]
+        out[members] = np.log(a[size + 1])
+    return out
+
+
 def expected_uses(word: str, model: Model, lang: int) -> list[tuple[int, float]]:
     """(piece, expected uses in one occurrence of the word), by forward-backward."""
     word = MARK + word
@@ -191,6 +263,39 @@ def _maximised(rows: list, langs: list[str], size: int) -> np.ndarray:
     return uses / uses.sum(axis=0)
 
 
+class Memory:
+    """Log-likelihoods of the words that a worker process met last."""
+
+    def __init__(self, model: Model):
+        self.model, self.pieces, self.known, self.table = model, PieceTable(model), {}, np.empty((0, len(model.langs)))
+
+    def learn(self, documents: list[list[str]]) -> None:
+        new = list(set().union(*documents).difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known, self.table = {}, np.empty((0, len(self.model.langs)))
+            new = list(set().union(*documents))
+        if new:
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+            if len(self.known) > len(self.table):
+                more = np.empty((max(len(self.known), min(2 * len(self.known), REMEMBERED)) - len(self.table), len(self.model.langs)))
+                self.table = np.vstack([self.table, more])
+            self.table[len(self.known) - len(new):len(self.known)] = many_log_likelihoods(new, self.model, self.pieces)
+
+    def total(self, words: list[str]) -> np.ndarray:
+        return self.table[list(map(self.known.__getitem__, words))].sum(axis=0)
+
+
+_MEMORY: dict[int, Memory] = {}
+
+
+def _memory(model: Model) -> Memory:
+    """The memory of this process for the model; that of another model goes."""
+    if model.name not in _MEMORY:
+        _MEMORY.clear()
+        _MEMORY[model.name] = Memory(model)
+    return _MEMORY[model.name]
+
+
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``id_col``, the ``keep`` columns, ``lang_pred`` and ``score`` of every row."""
     common.workers_see_package(docs.sparkSession)
@@ -199,34 +304,21 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, int] = {}
-        table = np.empty((REMEMBERED, len(model.langs)))
+        memory = _memory(model)
         for batch in common.slices(batches):
+            texts = [t.as_py() or "" for t in batch.column(text_col)]
+            words = [WORDS.findall(t.lower()) if model.langs and LETTER.search(t) else [] for t in texts]
+            memory.learn(words)
             langs, scores = [], []
-            for text in batch.column(text_col):
-                text = text.as_py() or ""
-                words = WORDS.findall(text.lower()) if model.langs and LETTER.search(text) else ()
-                if not words:
+            for own in words:
+                if not own:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                if len(known) + len(words) > REMEMBERED:
-                    known.clear()
-                total, rows_of = np.zeros(len(model.langs)), []
-                for word in words:
-                    at = known.get(word)
-                    if at is None:
-                        values = log_likelihoods(word, model)
-                        if len(known) == REMEMBERED or len(word) > 40:
-                            total += values
-                            continue
-                        at = known[word] = len(known)
-                        table[at] = values
-                    rows_of.append(at)
-                total += table[rows_of].sum(axis=0)
+                total = memory.total(own)
                 best = int(total.argmax())
                 langs.append(model.langs[best])
-                scores.append(float(1.0 / np.exp((total - total[best]) / math.sqrt(len(words))).sum()))
+                scores.append(float(1.0 / np.exp((total - total[best]) / math.sqrt(len(own))).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              [*kept, "lang_pred", "score"])
 

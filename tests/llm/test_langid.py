@@ -50,6 +50,13 @@ def test_forward_sums_all_segmentations(toy, word):
         assert np.allclose(got, want)
 
 
+def test_many_words_at_a_time(toy):
+    rng = random.Random(0)
+    words = ["".join(rng.choices("abcz", k=rng.randint(1, 40))) for _ in range(300)] + ["日本語", "é"]
+    got = langid.many_log_likelihoods(words, toy, langid.PieceTable(toy))
+    assert np.allclose(got, [langid.log_likelihoods(w, toy) for w in words])
+
+
 def test_long_word_keeps_its_value(toy):
     long = "ab" * 4000
     assert all(map(math.isfinite, langid.log_likelihoods(long, toy)))
