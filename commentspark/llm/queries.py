@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii
+from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash
 
 QUERIES = {}
 ORACLE = {}
@@ -77,3 +77,24 @@ def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = of(*pii.BASE)
     counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
     return every.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"))
+
+
+#: Rows whose id is divisible by it are the queries of a search.
+SEARCHED = 50
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, its edit and its likeness to the next; for every 50th id, how many other
+    documents lie within the Hamming radius."""
+    found = common.stored(simhash.edited_pairs(common.read(spark, sf_dir, "documents")), "simhash")
+    asked = F.col("doc_id") % SEARCHED == 0
+    found = found.withColumnRenamed("id", "doc_id")
+    copies = found.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    pairs = simhash.near(found.filter(asked).select("fingerprint"), found.select("fingerprint"))
+    met = pairs.join(copies, "fingerprint").groupBy("query").agg((F.sum("copies") - 1).alias("met"))
+    met = found.filter(asked).select("range", "place", "fingerprint").join(met, F.col("fingerprint") == F.col("query")).select("range", "place", F.col("met").alias("n_near"))
+    out = found.join(met, ["range", "place"], "left")
+    return out.select("doc_id", "n_chars", "edited_sha256", simhash.hexed(F.col("fingerprint")).alias("fingerprint"),
+                      simhash.hexed(F.col("edited")).alias("edited_fingerprint"), simhash.likeness(F.col("fingerprint"), F.col("edited")).alias("near_edited"),
+                      simhash.likeness(F.col("fingerprint"), F.col("next")).alias("near_next"), "n_near")
