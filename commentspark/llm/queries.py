@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash
+from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash, warc
 
 QUERIES = {}
 ORACLE = {}
@@ -98,3 +98,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", "edited_sha256", simhash.hexed(F.col("fingerprint")).alias("fingerprint"),
                       simhash.hexed(F.col("edited")).alias("edited_fingerprint"), simhash.likeness(F.col("fingerprint"), F.col("edited")).alias("near_edited"),
                       simhash.likeness(F.col("fingerprint"), F.col("next")).alias("near_next"), "n_near")
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back by the index."""
+    found = warc.read(warc.write(common.read(spark, sf_dir, "pages")), with_payload=False)
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc"] = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= {warc.MIN_REVISIT} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)"""
