@@ -95,3 +95,27 @@ def local_roots(linked, ids):
         if (best == roots).all():
             return roots
         roots = best
+
+
+FILTER_BITS = 1 << 20
+
+
+def bit_filter(hashes: DataFrame, name: str):
+    """A test for Column of hashes (long): false only if the value is not among ``hashes[name]``.
+
+    The filter is 2**20 bits however many values there are (the driver sees 16,384 longs at most); it thins a table
+    out before the exact join with ``hashes``, and lets all through where values are many.
+    """
+    at = F.pmod(F.col(name), F.lit(FILTER_BITS))
+    words = (hashes.select((at / 64).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())
+    filled = [0] * (FILTER_BITS // 64)
+    for r in words:
+        filled[r["word"]] = r["bits"]
+    table = F.split(F.lit(",".join(map(str, filled))), ",").cast("array<bigint>")
+
+    def test(value: Column) -> Column:
+        spot = F.pmod(value, F.lit(FILTER_BITS))
+        return F.call_function("shiftrightunsigned", F.get(table, (spot / 64).cast("int")), (spot % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return test

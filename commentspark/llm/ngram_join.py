@@ -157,16 +157,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words")).withColumn("key", F.xxhash64("words", F.lit(seed)))
     signed = common.stored(_signed(texts, n, hashes, seed, with_grams=False), "ngram-signatures")
     classes = signed.filter("grams > 0").groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.min("grams").alias("grams"))
-    # One row of each class is read for its text; classes without any id are read by their key.
     classes = common.stored(classes, "ngram-classes")
-    first = classes.select("key", F.col("low").alias("id"))
-    reps = signed.join(first, (signed["key"] == first["key"]) & signed["id"].eqNullSafe(first["id"]), "left_semi").dropDuplicates(["key"])
 
     bands = hashes // rows
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(
         k, F.expr("sig").substr(k * (4 * rows) + 1, F.lit(4 * rows))))).alias("band")
-    banded = reps.select("key", band)
-    buckets = banded.groupBy("band").agg(F.min("key").alias("root"), F.count("*").alias("n")).filter("n > 1").select("band", "root")
+    banded = signed.filter("grams > 0").select("key", band)
+    buckets = banded.groupBy("band").agg(F.min("key").alias("root"), F.max("key").alias("top")).filter("root != top").select("band", "root")
     stars = banded.join(buckets, "band").filter("key != root").select("key", "root").distinct()
     groups = connected_components(stars, "key", "root").select(F.col("node").alias("key"), F.col("component").alias("grp"))
     groups = common.stored(groups.join(classes, "key"), "ngram-groups")
@@ -189,7 +186,8 @@ def _verified(texts: DataFrame, groups: DataFrame, n: int, threshold: float, has
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_GRAMS)).cast("int").alias("blocks")
     members = groups.join(sizes.select("grp", blocks), "grp").select("key", F.col("low").alias("id"), "copies", "grp", "blocks")
     # The text of one document of each class in a group, with its n-grams.
-    found = texts.join(members.withColumnsRenamed({"key": "k", "id": "i"}), F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
+    texts = texts.filter(common.bit_filter(groups, "key")(F.col("key")))
+    found = texts.join(members.withColumnsRenamed({"key": "k", "id": "i"}).hint("merge"), F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
     found = found.select("key", "copies", "grp", "blocks", "words", F.pmod(F.xxhash64("key", F.lit(seed)), F.col("blocks")).cast("int").alias("block"))
     members = _signed(found, n, hashes, seed, with_grams=True)
     task = ["grp", "i", "j"]
