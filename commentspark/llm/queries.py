@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash, warc
+from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash, url_filter, warc
 
 QUERIES = {}
 ORACLE = {}
@@ -113,3 +113,15 @@ k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN keeper <> page_id THEN keeper END AS refers_to
 FROM p LEFT JOIN k USING (payload_digest)"""
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, or else by the character models."""
+    return url_filter.judged(common.read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op10_url_filter"] = url_filter.judged_sql(URL_RULES)
