@@ -299,7 +299,7 @@ def _memory(model: Model) -> Memory:
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``id_col``, the ``keep`` columns, ``lang_pred`` and ``score`` of every row."""
     common.workers_see_package(docs.sparkSession)
-    kept = [id_col, *keep]
+    kept = list(dict.fromkeys([id_col, *keep]))
     rows = docs.select(*kept) if text_col in kept else docs.select(*kept, text_col)
     schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string", "score double"])
 

@@ -50,6 +50,11 @@ def words_of(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
+def key_of(text: Column, seed: int = SEED) -> Column:
+    """Hash of a text's words: the name of its class of copies."""
+    return F.xxhash64(words_of(text), F.lit(seed))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """splitmix64, on arrays."""
     x = x + _MIX[0]
