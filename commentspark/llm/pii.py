@@ -15,7 +15,7 @@ composition, neighbours, cue), which takes the decision.
 
 Votes and features are a short code, so both models are fitted on the counts of the codes
 that occur, at most a few thousand whatever the corpus; each step is one aggregation, of
-which the driver sees one row of sums.  Texts are read once for the counts
+which the driver sees a row for each vote or feature.  Texts are read once for the counts
 and once for the spans, and are never shuffled.
 
 Positions count code points, the end is exclusive.  Patterns are written without
@@ -197,70 +197,63 @@ def candidates(docs: DataFrame, text_col: str = "text", into: str = "candidates"
 def fit(found: DataFrame, into: str = "candidates", rounds: int = ROUNDS) -> list[str]:
     """The codes of added kinds that the classifier accepts, learned from all candidates of ``found``."""
     codes = found.select(F.explode(into).alias("c")).groupBy("c.code").agg(F.count("*").cast("double").alias("n"))
-    parts = F.split("code", ":")
-    codes = common.stored(codes.select("code", "n", parts[0].alias("kind"), parts[1].alias("votes"), parts[2].alias("features")).coalesce(1), "pii-codes")
-    codes = codes.withColumn("p", _trusted(codes, rounds))
-    logit = _classifier(codes, rounds)
-    return [r["code"] for r in codes.filter(F.col("kind").isin(*ADDED)).filter(logit >= 0).select("code").collect()]
+    codes = codes.withColumn("part", F.split("code", ":"))
+    kind = F.array_position(F.lit(list(KINDS)), F.col("part")[0]).cast("int") - 1
+    votes = F.transform(F.sequence(F.lit(0), F.lit(len(LABELERS) - 1)), lambda j: len(KINDS) + 3 * j + F.instr(F.lit("+-0"), F.col("part")[1].substr(j + 1, F.lit(1))) - 1)
+    spots, low = [kind], len(KINDS)
+    for i, values in enumerate(FEATURES):
+        spots.append(F.instr(F.lit(values), F.col("part")[2].substr(i + 1, 1)) - 1 + low)
+        low += len(values)
+    codes = codes.select("code", "n", F.col("part")[0].alias("kind"), F.concat(F.array(kind), votes).alias("votes"), F.array(*spots).alias("features"))
+    codes = common.stored(codes.coalesce(1), "pii-codes")
+    codes = codes.withColumn("p", _sigmoid(_summed("votes", _trusted(codes, rounds))))
+    accepted = _summed("features", _classifier(codes, low, rounds)) >= 0
+    return [r["code"] for r in codes.filter(F.col("kind").isin(*ADDED) & accepted).select("code").collect()]
 
 
 def _sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def _trusted(codes: DataFrame, rounds: int) -> Column:
-    """Expectation-maximisation over the votes: the probability of a code, given what each labeler's votes are worth."""
-    # Prior counts: a vote is right four times of five, until the data say otherwise.
-    prior = {(j, v, y): {"+": 8.0, "-": 2.0, "0": 5.0}[v if y else {"+": "-", "-": "+", "0": "0"}[v]] for j in range(len(LABELERS)) for v in "+-0" for y in (1, 0)}
-    counts, classes = dict(prior), {(k, y): 5.0 for k in KINDS for y in (1, 0)}
-    for _ in range(rounds):
-        worth = {}
-        for j in range(len(LABELERS)):
-            for v in "+-0":
-                share = [counts[j, v, y] / sum(counts[j, u, y] for u in "+-0") for y in (1, 0)]
-                worth[j, v] = math.log(share[0] / share[1])
-        x = _by(F.col("kind"), {k: math.log(classes[k, 1] / classes[k, 0]) for k in KINDS})
-        for j in range(len(LABELERS)):
-            x = x + _by(F.col("votes").substr(j + 1, 1), {v: worth[j, v] for v in "+-0"})
-        p = _sigmoid(x)
-        weighed = {1: F.col("n") * p, 0: F.col("n") * (1 - p)}
-        sums = {f"v{j}{v}{y}": F.sum(F.when(F.col("votes").substr(j + 1, 1) == v, weighed[y]).otherwise(0.0)) for j, v, y in prior}
-        sums |= {f"k{k}{y}": F.sum(F.when(F.col("kind") == k, weighed[y]).otherwise(0.0)) for k, y in classes}
-        row = codes.agg(*(c.alias(name) for name, c in sums.items())).first()
-        counts = {(j, v, y): prior[j, v, y] + (row[f"v{j}{v}{y}"] or 0.0) for j, v, y in prior}
-        classes = {(k, y): 5.0 + (row[f"k{k}{y}"] or 0.0) for k, y in classes}
-    return p
-
-
-def _by(key: Column, values: dict[str, float]) -> Column:
-    out = F.lit(0.0)
-    for k, v in values.items():
-        out = F.when(key == k, F.lit(v)).otherwise(out)
-    return out
-
-
-def _classifier(codes: DataFrame, rounds: int) -> Column:
-    """Logistic model of the span's features, fitted to the probabilities ``p``: its logit."""
-    x = {("kind", k): F.col("kind") == k for k in KINDS}
-    x |= {(str(i), v): F.col("features").substr(i + 1, 1) == v for i, values in enumerate(FEATURES) for v in values}
-    weights = dict.fromkeys(x, 0.0)
-
-    def logit() -> Column:
-        out = F.lit(0.0)
-        for name in ("kind", *map(str, range(len(FEATURES)))):
-            key = F.col("kind") if name == "kind" else F.col("features").substr(int(name) + 1, 1)
-            out = out + _by(key, {v: w for (n, v), w in weights.items() if n == name})
-        return out
+def _summed(spots: str, weights: list[float]) -> Column:
+    """Sum of the weights at the places in an array column."""
+    table = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
+    return F.aggregate(spots, F.lit(0.0), lambda a, i: a + F.get(table, i))
 
+
+def _by_spot(codes: DataFrame, spots: str, **sums: Column) -> dict:
+    """{place: sums over the codes that have it}: a row for each labeler's vote, or feature, and kind."""
+    rows = codes.select(F.explode(spots).alias("spot"), *(c.alias(k) for k, c in sums.items())).groupBy("spot").agg(*(F.sum(k).alias(k) for k in sums))
+    return {r["spot"]: r for r in rows.collect()}
+
+
+def _trusted(codes: DataFrame, rounds: int) -> list[float]:
+    """Expectation-maximisation over the votes: what each kind, and each labeler's vote, adds to the logit."""
+    # Prior counts (of the kind or vote where the candidate is personal data, and where not): a vote is right
+    # four times of five, until the data say otherwise.
+    prior = [(5.0, 5.0)] * len(KINDS) + [(8.0, 2.0), (2.0, 8.0), (5.0, 5.0)] * len(LABELERS)
+    counts = prior
+    for k in range(rounds + 1):
+        worth = [math.log(yes / no) for yes, no in counts[:len(KINDS)]]
+        for j in range(len(KINDS), len(prior), 3):
+            yes, no = (sum(c[y] for c in counts[j:j + 3]) for y in (0, 1))
+            worth += [math.log(c[0] / yes) - math.log(c[1] / no) for c in counts[j:j + 3]]
+        if k < rounds:
+            p = _sigmoid(_summed("votes", worth))
+            seen = _by_spot(codes, "votes", yes=F.col("n") * p, no=F.col("n") * (1 - p))
+            counts = [(a + (seen[i]["yes"] if i in seen else 0.0), b + (seen[i]["no"] if i in seen else 0.0)) for i, (a, b) in enumerate(prior)]
+    return worth
+
+
+def _classifier(codes: DataFrame, size: int, rounds: int) -> list[float]:
+    """Weights of a logistic model of the span's features, fitted to the probabilities ``p``."""
+    weights = [0.0] * size
     for _ in range(rounds):  # each weight by its own Newton step, damped by the number of feature groups
-        q = _sigmoid(logit())
-        gap, bend = F.col("n") * (F.col("p") - q), F.col("n") * q * (1 - q)
-        sums = [F.sum(F.when(c, v).otherwise(0.0)).alias(f"{part}{i}") for i, c in enumerate(x.values()) for part, v in (("g", gap), ("h", bend))]
-        row = codes.agg(*sums).first()
-        for i, name in enumerate(x):
-            step = ((row[f"g{i}"] or 0.0) - weights[name]) / ((row[f"h{i}"] or 0.0) + 1.0) / (1 + len(FEATURES))
-            weights[name] += max(-2.0, min(2.0, step))
-    return logit()
+        q = _sigmoid(_summed("features", weights))
+        seen = _by_spot(codes, "features", gap=F.col("n") * (F.col("p") - q), bend=F.col("n") * q * (1 - q))
+        for i, r in seen.items():
+            weights[i] += max(-2.0, min(2.0, (r["gap"] - weights[i]) / (r["bend"] + 1.0) / (1 + len(FEATURES))))
+    return weights
 
 
 def spans(candidates_col: str, accepted: list[str]) -> Column:
