@@ -40,13 +40,13 @@ def norm2(a: Column) -> Column:
 
 def distance(a: Column, b: Column, metric: str = "l2") -> Column:
     """Vector distance: ``l2`` (Euclidean), ``l2sq`` (squared), ``cosine``
-    (1 - cosine similarity), ``ip`` (1 - inner product)."""
+    (1 - cosine similarity; null with a zero vector), ``ip`` (1 - inner product)."""
     if metric == "l2":
         return F.sqrt(sq_l2(a, b))
     if metric == "l2sq":
         return sq_l2(a, b)
     if metric == "cosine":
-        return F.lit(1.0) - dot(a, b) / (norm2(a) * norm2(b))
+        return F.lit(1.0) - F.try_divide(dot(a, b), norm2(a) * norm2(b))
     if metric == "ip":
         return F.lit(1.0) - dot(a, b)
     raise ValueError("metric must be one of: l2, l2sq, cosine, ip")
@@ -63,7 +63,7 @@ def sql_distance(a: str, b: str, metric: str = "l2") -> str:
     if metric == "cosine":
         na = f"sqrt(list_sum(list_transform({a}, lambda x: x * x)))"
         nb = f"sqrt(list_sum(list_transform({b}, lambda x: x * x)))"
-        return f"(1.0 - {dp} / ({na} * {nb}))"
+        return f"(1.0 - {dp} / nullif({na} * {nb}, 0.0))"
     if metric == "ip":
         return f"(1.0 - {dp})"
     raise ValueError(metric)

@@ -1,10 +1,10 @@
 """Incremental Parquet index (X9, J1, A20, S5-S7), landed-page ingest (S1,
 L1, U1) and encoders (X8).
 
-The vector store of the reference is re-aimed as a Parquet table
-partitioned by ``video_id``: appends are ``write.mode("append")``, a reset
-is ``mode("overwrite")``, scans prune columns, and re-runs skip ids
-already present through a left-anti join.
+The vector store is a Parquet table: appends are ``write.mode("append")``, a
+reset is ``mode("overwrite")``, scans prune columns, and re-runs skip the ids
+already present.  It is read with the schema it is written with, so a video
+id is never guessed to be a number.
 """
 
 from __future__ import annotations
@@ -14,12 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
+from ..functions.ranking import top_n
 from ..functions.scalars import ENTITY_JSON_CAP, safe_float, safe_int, sanitize_json_list
+from ..session import materialize, path_exists
 
 REQUIRED = ["video_id", "comment_id", "clean_text"]
 OPTIONAL = {"sentiment_polarity": "0.0", "sentiment_subjectivity": "0.0", "entities": "'[]'",
             "topic_id": "-1"}
 
+INDEX_SCHEMA = ("id string, document string, video_id string, comment_id string, sentiment_polarity double, "
+                "sentiment_subjectivity double, entities string, entity_list array<struct<text:string,label:string>>, "
+                "entities_truncated boolean, topic_id int, embedding array<float>")
+
+INDEX_COLUMNS = ["id", "document", "video_id", "comment_id", "sentiment_polarity", "sentiment_subjectivity", "entities",
+                 "entity_list", "entities_truncated", "topic_id", "embedding"]
+
 PAGE_SCHEMA = T.StructType([
     T.StructField("nextPageToken", T.StringType()),
     T.StructField("items", T.ArrayType(T.StructType([
@@ -36,6 +45,9 @@ PAGE_SCHEMA = T.StructType([
 ])
 
 
+PAGE_BUCKETS = 16
+
+
 # P10 ----------------------------------------------------------------------------
 def conform(df: DataFrame, required: list[str] = REQUIRED, optional: dict[str, str] = OPTIONAL) -> DataFrame:
     """Missing required column -> error; missing optional -> default literal."""
@@ -72,17 +84,20 @@ def cap_rows(rows: DataFrame, order_cols: list, target: int) -> DataFrame:
 def land_pages(comments: DataFrame, path: str, page_size: int = 100) -> None:
     """Write comments as API-shaped JSON pages (``page_size`` items each,
     per video): the landed input of :func:`read_pages`.  A page is a
-    bounded group (``page_size`` rows)."""
+    bounded group (``page_size`` rows); a video's comments are paged within
+    buckets of their id, so a video with a third of all comments is still
+    paged by many tasks."""
     from pyspark.sql import Window
-    w = Window.partitionBy("video_id").orderBy("doc_id")
-    c = comments.withColumn("_page", F.floor((F.row_number().over(w) - 1) / page_size))
+    c = comments.withColumn("_bucket", F.pmod(F.xxhash64("comment_id"), F.lit(PAGE_BUCKETS)))
+    w = Window.partitionBy("video_id", "_bucket").orderBy("doc_id")
+    c = c.withColumn("_page", F.floor((F.row_number().over(w) - 1) / page_size))
     item = F.struct(
         F.col("comment_id").alias("id"),
         F.struct(F.col("video_id").alias("videoId"),
                  F.struct(F.struct(F.col("comment_text").alias("textDisplay"), F.col("author").alias("authorDisplayName"),
                                    F.col("likes").alias("likeCount"), F.col("published_at").alias("publishedAt"))
                           .alias("snippet")).alias("topLevelComment")).alias("snippet"))
-    pages = c.groupBy("video_id", "_page").agg(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("it")))).alias("l"))
+    pages = c.groupBy("video_id", "_bucket", "_page").agg(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("it")))).alias("l"))
     pages = pages.select(F.lit(None).cast("string").alias("nextPageToken"),
                          F.transform("l", lambda x: x["it"]).alias("items"))
     pages.write.mode("overwrite").json(path)
@@ -91,66 +106,100 @@ def land_pages(comments: DataFrame, path: str, page_size: int = 100) -> None:
 # X9 ----------------------------------------------------------------------------
 def prepare_index_rows(df: DataFrame) -> DataFrame:
     """Conform, drop rows lacking required fields, build ids and sanitised
-    metadata (keywords are not carried into the index)."""
+    metadata (keywords are not carried into the index).  ``entities`` is the
+    JSON string cut at its cap, ``entity_list`` the whole list."""
     d = conform(df)
     ok = TX.is_nonblank("video_id") & TX.is_nonblank("clean_text") & TX.is_nonblank("comment_id")
     d = d.where(ok)
     raw_ents = F.col("entities") if dict(d.dtypes).get("entities") == "string" else F.to_json("entities")
     full = sanitize_json_list(raw_ents)
+    entity_list = F.from_json(full, "array<struct<text:string,label:string>>")
     return d.select(
         F.concat(F.lit("comment_"), F.trim("video_id"), F.lit("_"), F.trim("comment_id")).alias("id"),
         TX.strip_ws("clean_text").alias("document"),
         F.trim("video_id").alias("video_id"), F.trim("comment_id").alias("comment_id"),
         safe_float(F.col("sentiment_polarity").cast("string")).alias("sentiment_polarity"),
         safe_float(F.col("sentiment_subjectivity").cast("string")).alias("sentiment_subjectivity"),
-        F.substring(full, 1, ENTITY_JSON_CAP).alias("entities"),
+        F.substring(full, 1, ENTITY_JSON_CAP).alias("entities"), entity_list.alias("entity_list"),
         (F.length(full) > ENTITY_JSON_CAP).alias("entities_truncated"),
         safe_int(F.col("topic_id")).cast("int").alias("topic_id"),
         *[c for c in ("embedding",) if c in d.columns])
 
 
+def read_index(spark: SparkSession, index_path: str) -> DataFrame:
+    """The index table; empty where none is written yet.  Any other failure to read is an error."""
+    if not path_exists(spark, index_path):
+        return spark.createDataFrame([], INDEX_SCHEMA)
+    return spark.read.schema(INDEX_SCHEMA).parquet(index_path)
+
+
 def existing_ids(spark: SparkSession, index_path: str) -> DataFrame:
-    """S7: ids only (column pruning); empty when the index does not exist yet."""
-    try:
-        return spark.read.parquet(index_path).select("id")
-    except Exception:  # noqa: BLE001 - no index written yet
-        return spark.createDataFrame([], "id string")
+    """S7: ids only (column pruning)."""
+    return read_index(spark, index_path).select("id")
 
 
 def build_index(spark: SparkSession, rows: DataFrame, index_path: str, reset: bool = False) -> DataFrame:
     """X9: append rows whose id is not yet indexed; returns one counter row
     ``candidates, skipped_existing, added, truncated`` (A20).
 
-    The candidate set is written once to the shared folder so the counters
-    and the append read the same rows even if executors are lost."""
-    from ..session import materialize
-    cand = materialize(prepare_index_rows(rows), "index-candidates")
-    if reset:
-        have = spark.createDataFrame([], "id string")
-    else:
-        have = existing_ids(spark, index_path)
-    new = cand.join(have, "id", "left_anti")
-    skipped = cand.join(have, "id", "left_semi")
-    counts = cand.agg(F.count(F.lit(1)).alias("candidates"),
-                      F.count_if("entities_truncated").alias("truncated"))
-    c = counts.select("candidates", "truncated", skipped.select(F.count(F.lit(1))).scalar().alias("skipped_existing"),
-                      new.select(F.count(F.lit(1))).scalar().alias("added"))
-    c = c.collect()[0]
-    (new.write.mode("overwrite" if reset else "append").partitionBy("video_id").parquet(index_path))
-    return spark.createDataFrame([(c["candidates"], c["skipped_existing"], c["added"], c["truncated"])],
+    Of several rows with one id the first in the order of all their columns is
+    indexed; the others count as skipped.  ``reset`` starts from an empty
+    index (S6).  The flagged candidates are written once to the shared folder,
+    so the counters and the append read the same rows even if executors are
+    lost."""
+    prepared = prepare_index_rows(rows)
+    if "embedding" not in prepared.columns:
+        prepared = prepared.withColumn("embedding", F.lit(None).cast("array<float>"))
+    prepared = prepared.withColumn("embedding", F.col("embedding").cast("array<float>"))
+    cand = top_n(prepared, ["id"], [F.xxhash64(*prepared.columns), F.col("document")], 1, "_nth")
+    have = spark.createDataFrame([], "id string") if reset else existing_ids(spark, index_path)
+    cand = cand.join(have.distinct().withColumn("_have", F.lit(True)), "id", "left")
+    cand = materialize(cand.withColumn("_new", F.col("_have").isNull()), "index-candidates")
+    new = cand.where("_new").select(*INDEX_COLUMNS)
+    new.write.mode("overwrite" if reset else "append").parquet(index_path)
+    # Distinct candidates come from the written table, all of them from the input.
+    total = prepared.select(F.count(F.lit(1)).alias("candidates"), F.count_if("entities_truncated").alias("truncated")).first()
+    added = cand.select(F.count_if("_new").alias("added")).first()["added"]
+    return spark.createDataFrame([(total["candidates"], total["candidates"] - added, added, total["truncated"])],
                                  "candidates long, skipped_existing long, added long, truncated long")
 
 
 # X8 ----------------------------------------------------------------------------
-def hashing_encoder(df: DataFrame, text_col: str = "document", dim: int = 64) -> DataFrame:
-    """Native encoder: hashed term counts of the vectorizer tokens,
-    L2-normalised, as ``array<float>`` (JVM-side, no Python)."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-    t = df.withColumn("_toks", TX.ml_tokens(F.col(text_col)))
-    h = HashingTF(inputCol="_toks", outputCol="_tf", numFeatures=dim).transform(t)
-    n = Normalizer(inputCol="_tf", outputCol="_v", p=2.0).transform(h)
-    return n.withColumn("embedding", vector_to_array("_v", "float32")).drop("_toks", "_tf", "_v")
+HEX = "0123456789abcdef"
+
+
+def hashing_encoder(df: DataFrame, id_col: str, text_col: str = "document", into: str = "embedding") -> DataFrame:
+    """Native encoder: counts of the vectorizer tokens in 64 buckets (six
+    bits of the token's MD5), L2-normalised, as ``array<float>``; a text
+    without tokens is the zero vector.  ``id_col`` tells rows apart.
+
+    The counts are one aggregation over the exploded tokens, combined where the
+    tokens are made."""
+    md5 = F.md5("_token")
+    spot = (F.instr(F.lit(HEX), F.substring(md5, 1, 1)) - 1) * 4 + F.floor((F.instr(F.lit(HEX), F.substring(md5, 2, 1)) - 1) / 4)
+    tokens = df.select(id_col, F.explode(TX.ml_tokens(F.col(text_col))).alias("_token")).select(id_col, spot.alias("_spot"))
+    counts = tokens.groupBy(id_col).agg(*(F.count_if(F.col("_spot") == k).cast("double").alias(f"_{k}") for k in range(64)))
+    counts = counts.select(F.col(id_col).alias("_id"), F.array(*(F.col(f"_{k}") for k in range(64))).alias("_v"))
+    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
+    vector = F.transform("_v", lambda x: (x / norm).cast("float"))
+    out = df.join(counts, F.col(id_col) == F.col("_id"), "left")
+    return out.withColumn(into, F.coalesce(vector, F.array_repeat(F.lit(0.0).cast("float"), 64))).drop("_id", "_v")
+
+
+def sql_token_spots(tokens: str) -> str:
+    """The same in DuckDB, step by step: buckets of a token list, their counts, the unit vector."""
+    return (f"list_transform({tokens}, lambda t: (strpos('{HEX}', substr(md5(t), 1, 1)) - 1) * 4 + "
+            f"(strpos('{HEX}', substr(md5(t), 2, 1)) - 1) // 4)")
+
+
+def sql_spot_counts(spots: str) -> str:
+    return f"list_transform(range(64), lambda k: CAST(len(list_filter({spots}, lambda s: s = k)) AS DOUBLE))"
+
+
+def sql_unit_vector(counts: str) -> str:
+    norm = f"sqrt(list_sum(list_transform({counts}, lambda x: x * x)))"
+    return (f"CASE WHEN list_sum({counts}) = 0 THEN list_transform({counts}, lambda x: CAST(0 AS FLOAT)) "
+            f"ELSE list_transform({counts}, lambda x: CAST(x / {norm} AS FLOAT)) END")
 
 
 def pandas_encoder(df: DataFrame, encode, text_col: str = "document", dim: int = 384) -> DataFrame:

@@ -27,10 +27,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.predicates import compile_where
 from ..functions.ranking import distance as vec_distance
 from ..functions.ranking import top_n
 from ..functions.text import ws_tokens
-from ..session import bounded_broadcast, materialize
+from ..session import materialize
 
 # --- fixed values: BM25 (Okapi) and RRF defaults ---------------------------------
 BM25_K1 = 1.5
@@ -41,6 +42,8 @@ RRF_K = 60
 SCORE_DIGITS = 6
 RRF_DIGITS = 12
 ALL_KEY = "all"
+# Copies of the query table that dense search deals the vectors of a key over.
+SALTS = 32
 
 
 def _with_keys(queries: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def bm25_index(corpus: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     docs = corpus.select(F.col("id"), ws_tokens("document").alias("tokens"),
                          F.explode(_doc_keys(corpus)).alias("pred_key"))
     if keys is not None:
-        docs = docs.join(F.broadcast(keys), "pred_key", "left_semi")
+        docs = docs.join(keys, "pred_key", "left_semi")
     terms = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
     rows = docs.select("pred_key", "id", F.size("tokens").alias("dl"), F.explode(terms).alias("term"))
     return (rows.groupBy("pred_key", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -76,7 +79,7 @@ def bm25_index(corpus: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
 def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
                 k1: float = BM25_K1, b: float = BM25_B, epsilon: float = BM25_EPSILON,
-                index: DataFrame | None = None) -> DataFrame:
+                index: DataFrame | None = None, where: dict | None = None) -> DataFrame:
     """Okapi BM25 top-``n`` per query, distances ``1 - minmax(score)``.
 
     Semantics (fixed): tokens are ``lower().split()``; every document of the
@@ -89,31 +92,32 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
 
     Plan: the inverted index (:func:`bm25_index`) is built once and
     written as Parquet to the shared checkpoint folder (or passed in prebuilt);
-    query terms -- a size-checked broadcast -- join it on (key, term) and
-    scores aggregate by (query, doc).  Documents without a hit are never
-    paired with queries: only the ``2n`` smallest ids per key are offered
-    as zero-score fillers.
+    query terms join it on (key, term) -- no size hint: AQE broadcasts what
+    its bytes allow and splits the postings of common terms otherwise -- and
+    scores aggregate by (query, doc), combined before the one shuffle that
+    both the statistics and the ranking read.  Documents without a hit are
+    never paired with queries, but for the fillers of queries with fewer
+    than ``n`` positive scores.
     """
-    qk = bounded_broadcast(_with_keys(queries).select("query_id", "query", "pred_key"))
-    # Everything below derived from the query table has at most one row per
-    # query (or per query term), so the row check above bounds it as well.
+    if corpus is not None and where:
+        corpus = corpus.where(compile_where(where))
+    qk = _with_keys(queries).select("query_id", "query", "pred_key")
     if index is None:
-        used = qk.select("pred_key").distinct()
-        index = materialize(bm25_index(corpus, used), "bm25-index")
+        index = materialize(bm25_index(corpus, qk.select("pred_key").distinct()), "bm25-index")
 
     docs = index.where(F.col("term").isNull()).select("pred_key", "id", "dl")
     postings = index.where(F.col("term").isNotNull())
     kstats = docs.groupBy("pred_key").agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
 
     vocab = (postings.groupBy("pred_key", "term").agg(F.count(F.lit(1)).alias("df"))
-             .join(F.broadcast(kstats), "pred_key")
+             .join(kstats, "pred_key")
              .withColumn("idf0", F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)))
     avg_idf = vocab.groupBy("pred_key").agg(F.avg("idf0").alias("avg_idf"))
 
     qterms = (qk.select("query_id", "pred_key", F.explode(ws_tokens("query")).alias("term"))
               .groupBy("query_id", "pred_key", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    qidf = (vocab.join(F.broadcast(qterms.select("pred_key", "term").distinct()), ["pred_key", "term"], "left_semi")
-            .join(F.broadcast(avg_idf), "pred_key")
+    qidf = (vocab.join(qterms.select("pred_key", "term").distinct(), ["pred_key", "term"], "left_semi")
+            .join(avg_idf, "pred_key")
             .select("pred_key", "term", "avgdl",
                     F.when(F.col("idf0") < 0, F.lit(epsilon) * F.col("avg_idf"))
                     .otherwise(F.col("idf0")).alias("idf")))
@@ -121,67 +125,65 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
 
     contrib = (F.col("qtf") * F.col("idf") * F.col("tf") * F.lit(k1 + 1)
                / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))
-    hits = (postings.join(F.broadcast(qt), ["pred_key", "term"])
+    hits = (postings.join(qt, ["pred_key", "term"])
             .groupBy("query_id", "id").agg(F.sum(contrib).alias("raw"))
             .select("query_id", "id", F.round("raw", SCORE_DIGITS).alias("s")))
-    # hits feed three consumers (stats, candidates, negative-score path):
-    # write them once so the tail of the plan starts from a scan.
-    hits = materialize(hits, "bm25-hits")
-
-    hstats = (hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("H"), F.min("s").alias("hmin"),
-                                           F.max("s").alias("hmax")))
-    qstats = (qk.join(F.broadcast(kstats), "pred_key")
-              .join(hstats, "query_id", "left")
-              .select("query_id", "pred_key",
-                      F.coalesce("H", F.lit(0)).alias("H"), "N", "hmin", "hmax"))
+
+    hstats = (hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("H"), F.count_if(F.col("s") > 0).alias("P"),
+                                           F.min("s").alias("hmin"), F.max("s").alias("hmax")))
+    qstats = (qk.join(kstats, "pred_key").join(hstats, "query_id", "left")
+              .select("query_id", "pred_key", "N", F.coalesce("H", F.lit(0)).alias("H"),
+                      F.coalesce("P", F.lit(0)).alias("P"), "hmin", "hmax"))
     gap = F.col("H") < F.col("N")   # some docs have no hit -> a 0 score exists
-    qstats = qstats.select(
-        "query_id", "pred_key", F.col("hmin"),
+    # One row per query, read by each consumer below.
+    qstats = materialize(qstats.select(
+        "query_id", "pred_key", "H", "P", gap.alias("gap"),
         F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.least("hmin", F.lit(0.0)))
         .otherwise(F.col("hmin")).alias("smin"),
         F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.greatest("hmax", F.lit(0.0)))
-        .otherwise(F.col("hmax")).alias("smax"))
-
-    # Zero-score fillers: the 2n smallest ids per key.  Exact whenever no hit
-    # scores below 0 (a hit inside the window then ranks ahead of any later
-    # filler); queries with a negative hit take the anti-join path below,
-    # which is empty -- and pruned at run time by AQE -- otherwise.
-    window_ids = top_n(docs.select("pred_key", "id"), ["pred_key"], [F.col("id")], 2 * n, "_r")
-    fill = qk.select("query_id", "pred_key").join(window_ids, "pred_key").select(
-        "query_id", "id", F.lit(0.0).alias("s"), F.lit(0).alias("hit"))
-    neg_q = qstats.where(F.col("hmin") < 0).select("query_id", "pred_key")
-    fill_neg = (docs.select("pred_key", "id").join(F.broadcast(neg_q), "pred_key")
-                .join(hits.select("query_id", "id"), ["query_id", "id"], "left_anti"))
-    fill_neg = top_n(fill_neg, ["query_id"], [F.col("id")], n, "_r").select(
-        "query_id", "id", F.lit(0.0).alias("s"), F.lit(0).alias("hit"))
-
-    cands = reduce(DataFrame.unionByName,
-                   [hits.withColumn("hit", F.lit(1)), fill, fill_neg])
-    cands = cands.join(F.broadcast(qstats.select("query_id", "smin", "smax")), "query_id").withColumn(
+        .otherwise(F.col("hmax")).alias("smax")), "bm25-queries")
+
+    # Zero-score fillers: documents without a hit, for queries with fewer than n positive scores.
+    # With fewer than n hits, n of the 2n smallest ids have none; with more (hits that score 0 or
+    # below) the query's own hits are taken from all documents.
+    short = qstats.where(F.col("gap") & (F.col("P") < n))
+    window_ids = top_n(docs.select("pred_key", "id"), ["pred_key"], [F.col("id")], 2 * n, "_r").drop("_r")
+    offered = (short.where(F.col("H") < n).select("query_id", "pred_key").join(window_ids, "pred_key")
+               .unionByName(short.where(F.col("H") >= n).select("query_id", "pred_key").join(docs.select("pred_key", "id"), "pred_key")))
+    fill = offered.join(hits.select("query_id", "id"), ["query_id", "id"], "left_anti")
+    fill = top_n(fill, ["query_id"], [F.col("id")], n, "_r").select("query_id", "id", F.lit(0.0).alias("s"))
+
+    best = top_n(hits, ["query_id"], [F.desc("s"), F.asc("id")], n, "_r").drop("_r")
+    cands = best.unionByName(fill).join(qstats.select("query_id", "smin", "smax"), "query_id").withColumn(
         "norm", F.when(F.col("smax") > F.col("smin"),
                        (F.col("s") - F.col("smin")) / (F.col("smax") - F.col("smin")))
         .otherwise(F.lit(0.0)))
-    # 2n best candidates, then drop a filler that duplicates a hit, then n.
-    pre = top_n(cands, ["query_id"], [F.desc("norm"), F.asc("id"), F.desc("hit")], 2 * n, "_r")
-    pre = top_n(pre, ["query_id", "id"], [F.desc("hit")], 1, "_d")
-    out = top_n(pre, ["query_id"], [F.desc("norm"), F.asc("id")], n, "rank")
+    out = top_n(cands, ["query_id"], [F.desc("norm"), F.asc("id")], n, "rank")
     return out.select("query_id", "rank", "id", F.col("s").alias("score"),
                       (F.lit(1.0) - F.col("norm")).alias("distance"))
 
 
 # ----------------------------------------------------------------- Dense (X10)
-def dense_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str = "l2") -> DataFrame:
+def dense_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str = "l2",
+                 where: dict | None = None, salts: int = SALTS) -> DataFrame:
     """Exact nearest-``n`` per query by vector distance (ascending, ties by id).
 
-    The filter is applied before ranking (keys).  The query table is
-    broadcast after a row-count check, so each corpus partition scores its
-    vectors against every query locally and a partial ``WindowGroupLimit``
-    keeps ``n`` rows per query per task before the single shuffle.
+    ``where`` and the queries' keys filter before ranking; only keys that
+    some query uses are expanded.  Every vector of a key meets every query of
+    the key -- the definition of exact search, linear in the corpus for a
+    batch of queries -- and the ``'all'`` key would send all vectors to one
+    place, so vectors are dealt over ``salts`` copies of the query table.  A
+    partial ``WindowGroupLimit`` keeps ``n`` rows per query per task before
+    the ranking shuffle.
     """
+    if where:
+        corpus = corpus.where(compile_where(where))
     qk = _with_keys(queries).select("query_id", "qvec", "pred_key")
-    qk = bounded_broadcast(qk)
     vecs = corpus.select("id", "embedding", F.explode(_doc_keys(corpus)).alias("pred_key"))
-    scored = vecs.join(qk, "pred_key").select(
+    vecs = (vecs.join(qk.select("pred_key").distinct(), "pred_key", "left_semi")
+            .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")))
+    qk = qk.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    scored = vecs.join(qk, ["pred_key", "salt"]).select(
         "query_id", "id",
         F.round(vec_distance(F.col("embedding"), F.col("qvec"), metric), SCORE_DIGITS).alias("distance"))
     out = top_n(scored, ["query_id"], [F.asc("distance"), F.asc("id")], n)
@@ -216,12 +218,12 @@ def rrf(ranked_lists: list[DataFrame], k: int = RRF_K, n: int | None = None) ->
 
 # ---------------------------------------------------------------- Hybrid (X13)
 def hybrid_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str = "l2",
-                  k: int = RRF_K) -> DataFrame:
+                  k: int = RRF_K, where: dict | None = None) -> DataFrame:
     """Dense top-2n and BM25 top-2n over the same (filtered) corpus, fused
     by RRF and cut to ``n``.  A query whose filtered corpus is empty gets no
     rows."""
-    dense = dense_search(corpus, queries, 2 * n, metric)
-    lexical = bm25_search(corpus, queries, 2 * n)
+    dense = dense_search(corpus, queries, 2 * n, metric, where=where)
+    lexical = bm25_search(corpus, queries, 2 * n, where=where)
     return rrf([dense, lexical], k=k, n=n)
 
 

@@ -4,7 +4,7 @@ The reference calls per-row sentiment packages; here scoring is a lexicon
 job over vectorizer tokens.  A lexicon given as a Python dict is applied
 row-locally through a literal map (no shuffle at all); a lexicon given as a
 DataFrame -- for lexicons too large to inline -- is joined to the exploded
-tokens after a size check and aggregated back per document.
+tokens (AQE broadcasts it where its bytes allow) and aggregated back per document.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ml_tokens
-from ..session import bounded_broadcast
 
 # --- fixed values: thresholds and normalisation ------------------------------------
 POS_THRESHOLD = 0.1
@@ -39,11 +38,10 @@ def polarity_subjectivity(text: Column, lexicon: dict[str, tuple[float, float]])
     without hits; clamped to [-1, 1] / [0, 1], rounded to 9 digits."""
     pmap = _lit_map({k: v[0] for k, v in lexicon.items()})
     smap = _lit_map({k: v[1] for k, v in lexicon.items()})
-    toks = ml_tokens(text)
-    hits_p = F.filter(F.transform(toks, lambda t: F.element_at(pmap, t)), lambda x: x.isNotNull())
-    hits_s = F.filter(F.transform(toks, lambda t: F.element_at(smap, t)), lambda x: x.isNotNull())
-    pol = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _mean(hits_p))), DIGITS)
-    subj = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), _mean(hits_s))), DIGITS)
+    # One token pass keeps the hits (a hash-set probe each); the maps see hits only.
+    hits = F.filter(ml_tokens(text), lambda t: t.isin(list(lexicon)))
+    pol = F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _mean(F.transform(hits, lambda t: F.element_at(pmap, t))))), DIGITS)
+    subj = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), _mean(F.transform(hits, lambda t: F.element_at(smap, t))))), DIGITS)
     return pol, subj
 
 
@@ -51,8 +49,8 @@ def compound_score(text: Column, valence: dict[str, float], alpha: float = COMPO
     """Second rater: ``s / sqrt(s^2 + alpha)`` with ``s`` the sum of token
     valences (the published VADER normalisation)."""
     vmap = _lit_map(valence)
-    hits = F.filter(F.transform(ml_tokens(text), lambda t: F.element_at(vmap, t)), lambda x: x.isNotNull())
-    s = F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + x)
+    hits = F.filter(ml_tokens(text), lambda t: t.isin(list(valence)))
+    s = F.aggregate(F.transform(hits, lambda t: F.element_at(vmap, t)), F.lit(0.0), lambda acc, x: acc + x)
     return F.round(s / F.sqrt(s * s + F.lit(alpha)), DIGITS)
 
 
@@ -71,9 +69,9 @@ def score_sentiment(df: DataFrame, text_col: str, lexicon: dict[str, tuple[float
 
 def score_sentiment_table(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame) -> DataFrame:
     """X5 with a lexicon *table* ``(token, polarity, subjectivity)``: tokens
-    are exploded, matched to the (size-checked) broadcast lexicon, averaged
+    are exploded, matched to the lexicon, averaged
     per document with map-side partial aggregation, and joined back."""
-    lex = bounded_broadcast(lexicon.select("token", "polarity", "subjectivity"))
+    lex = lexicon.select("token", "polarity", "subjectivity")
     per_doc = (df.select(id_col, F.explode(ml_tokens(F.col(text_col))).alias("token"))
                .join(lex, "token")
                .groupBy(id_col).agg(F.sum("polarity").alias("_ps"), F.sum("subjectivity").alias("_ss"),

@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..functions.predicates import doc_pred_keys
 from ..operators import sentiment as S
 from ..operators.entities import extract_entities
+from ..operators.index import hashing_encoder, sql_spot_counts, sql_token_spots, sql_unit_vector
 from ..session import constant_table
 from ..sources.tables import read_table
 from .fixtures import ENTITY_PATTERNS, EVAL_QUERIES, LEXICON_A
@@ -48,15 +49,20 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index corpus: enriched comments that have an embedding.
+    """Index corpus: every enriched comment.
 
     ``id = comment_<video_id>_<comment_id>``; ``document`` is the clean text;
-    ``pred_keys`` lists the router filter keys each row satisfies.
+    ``pred_keys`` lists the router filter keys each row satisfies.  A comment
+    without an embedding gets the hashing encoder's, one without a topic gets -1.
     """
     e = enriched(spark, sf_dir)
     v = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("topic_id"))
-    j = e.join(v, "doc_id")
+    j = e.join(v, "doc_id", "left")
+    # Only comments without a vector have tokens to encode.
+    text = F.when(F.col("embedding").isNull(), F.col("clean_text")).otherwise(F.lit(""))
+    j = hashing_encoder(j.withColumn("to_encode", text), "doc_id", "to_encode", "encoded")
+    j = j.withColumns({"embedding": F.coalesce("embedding", "encoded"), "topic_id": F.coalesce("topic_id", F.lit(-1))})
     return j.select(
         F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"),
         "doc_id", "video_id", "comment_id",
@@ -66,6 +72,13 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def embedded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the comments that came with a vector."""
+    v = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
+    return cleaned(spark, sf_dir).join(v, "doc_id", "left_semi").select(
+        F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"))
+
+
 def lexical_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All cleaned comments as a BM25 corpus (``id``, ``document``)."""
     c = cleaned(spark, sf_dir)
@@ -110,11 +123,15 @@ def sql_ctes(*extra: str) -> str:
         "enriched AS (SELECT doc_id, video_id, comment_id, author, comment_text, clean_text, "
         f"{S.sql_polarity('mltoks', LEXICON_A)} AS sentiment_polarity, "
         f"{S.sql_subjectivity('mltoks', LEXICON_A)} AS sentiment_subjectivity FROM enriched0)",
-        "idx AS (SELECT 'comment_' || e.video_id || '_' || e.comment_id AS id, e.doc_id, e.video_id, e.comment_id, "
-        "e.clean_text AS document, e.sentiment_polarity, e.sentiment_subjectivity, v.label AS topic_id, "
-        "v.embedding, list_filter(['all', CASE WHEN e.sentiment_polarity < -0.1 THEN 'neg' "
-        "WHEN e.sentiment_polarity > 0.1 THEN 'pos' END, 'topic:' || CAST(v.label AS VARCHAR)], lambda k: k IS NOT NULL) AS pred_keys "
-        "FROM enriched e JOIN embeddings v ON v.vec_id = e.doc_id)",
+        f"idx0 AS (SELECT e.*, coalesce(v.label, -1) AS topic_id, v.embedding AS given, CASE WHEN v.embedding IS NULL THEN {sql_token_spots(toks)} "
+        "ELSE [] END AS spots FROM enriched e LEFT JOIN embeddings v ON v.vec_id = e.doc_id)",
+        f"idx1 AS (SELECT *, {sql_spot_counts('spots')} AS counts FROM idx0)",
+        "idx AS (SELECT 'comment_' || video_id || '_' || comment_id AS id, doc_id, video_id, comment_id, "
+        "clean_text AS document, sentiment_polarity, sentiment_subjectivity, topic_id, "
+        f"coalesce(given, {sql_unit_vector('counts')}) AS embedding, list_filter(['all', CASE WHEN sentiment_polarity < -0.1 THEN 'neg' "
+        "WHEN sentiment_polarity > 0.1 THEN 'pos' END, 'topic:' || CAST(topic_id AS VARCHAR)], lambda k: k IS NOT NULL) AS pred_keys "
+        "FROM idx1)",
+        "embedded AS (SELECT 'comment_' || video_id || '_' || comment_id AS id FROM cleaned WHERE doc_id IN (SELECT vec_id FROM embeddings))",
         "lexcorp AS (SELECT 'comment_' || video_id || '_' || comment_id AS id, clean_text AS document FROM cleaned)",
         f"evalq AS (SELECT q.query_id, q.query, q.expected_keywords, q.expected_topic_ids, v.embedding AS qvec "
         f"FROM {sql_eval_queries_values()} LEFT JOIN embeddings v ON v.vec_id = q.vec_id)".replace(

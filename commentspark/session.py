@@ -1,5 +1,5 @@
-"""Session helpers: building a session for local runs, reading the shared
-checkpoint folder, and size-checked broadcasts.
+"""Session helpers: a session for local runs, the cluster's shared folder, and
+tables written there.
 
 Library operators never create a session; they take DataFrames.  Only the
 test/bench entry points call :func:`get_spark`.
@@ -7,16 +7,20 @@ test/bench entry points call :func:`get_spark`.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Broadcast bounds (rows).  A side is broadcast only after a count proves it
-# is below the bound; above it the join is left to the planner (sort-merge or
-# AQE's runtime broadcast, which itself is size-checked by Spark).
-MAX_BROADCAST_ROWS = 200_000
+# Partitions that a scan of a text table is dealt to; unset on a cluster, where
+# inputs have splits enough.  get_spark sets it, as the local tables are one row group each.
+SCAN_PARTITIONS = "spark.commentspark.scanPartitions"
+
+_WRITTEN: list[str] = []
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -35,6 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        .config(SCAN_PARTITIONS, str(parts))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -46,7 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the setting names a shared, fault-tolerant folder and is
-    used as is.  Only where it is unset (local tests) do we create one.
+    used as is; without it nothing is written.  Only a local master, whose one
+    process is driver and executor, gets a temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="commentspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -66,27 +74,44 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/tables/" + name
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A shared folder that no other call gets; :func:`drop_written` removes it."""
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    if not _WRITTEN:
+        atexit.register(_drop_at_exit, spark)
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove the intermediate tables written so far.  Frames that read them
+    must have been consumed: callers do it between queries, and it happens at exit."""
+    jvm = spark.sparkContext._jvm
+    if jvm is None:
+        return
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
-    The bound is checked with a ``limit(max_rows + 1).count()`` action, which
-    stops reading after ``max_rows + 1`` rows.  Above the bound the frame is
-    returned unhinted, and Catalyst/AQE choose a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by now
+        drop_written(spark)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts lineage, survives executor loss, and later scans get column
     pruning and filter pushdown.  Each call writes a fresh folder."""
-    import uuid
-
     spark = df.sparkSession
-    path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def constant_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -5,28 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import SCAN_PARTITIONS
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# Text tables whose per-row work (regex cleaning, tokenizing) is CPU heavy:
-# spread them over all cores when the scan itself yields too few splits.
-SPREAD_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+# Text tables whose per-row work (regex cleaning, tokenizing) is CPU heavy.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The whole table.  Where the session asks for it (local runs over files of
+    one row group), text tables are dealt to that many partitions."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = SPREAD_KEYS.get(name)
-    if key is not None:
-        df = spread(df, key)
-    return df
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on ``key`` only when the scan has fewer partitions than
-    the cluster has cores (a single large row group, say).  A large input
-    already has at least that many splits and is left as it is, so no
-    shuffle is added at scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want, key)
+    parts = spark.conf.get(SCAN_PARTITIONS, None)
+    if parts and name in TEXT_KEYS:
+        df = df.repartition(int(parts), TEXT_KEYS[name])
     return df

@@ -1,16 +1,14 @@
 """Structured Streaming forms of the incremental index (Z1) and of id
-de-duplication (Z2).
+de-duplication (Z2), over a landing folder of page files.
 
-Z1: landed page files are a file stream; each micro-batch is flattened,
-enriched and appended by the batch index builder (anti-join on id), so a
-replay after a failure, or a second run, adds nothing.  The checkpoint and
-the index live under the shared checkpoint folder.
+Z1: each micro-batch is flattened, enriched and appended by the batch index
+builder, which skips ids already there, so a replay after a failure, or a
+second run, adds nothing.  Landing, index and checkpoint folders are the
+caller's, in storage that the whole cluster shares.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,47 +16,32 @@ from ..functions import text as T
 from ..operators import index as IX
 from ..operators.entities import extract_entities
 from ..operators.sentiment import score_sentiment
-from ..plans.fixtures import ENTITY_PATTERNS, LEXICON_A
-from ..session import shared_path
 
 
-def enrich_batch(rows: DataFrame) -> DataFrame:
+def enrich_batch(rows: DataFrame, lexicon: dict, patterns: list) -> DataFrame:
     c = rows.withColumn("clean_text", T.clean_text(T.fill_text("comment_text"))).where(F.col("clean_text") != "")
-    c = score_sentiment(c, "clean_text", LEXICON_A)
-    return c.withColumn("entities", extract_entities(F.col("clean_text"), ENTITY_PATTERNS))
-
+    c = score_sentiment(c, "clean_text", lexicon)
+    return c.withColumn("entities", extract_entities(F.col("clean_text"), patterns))
 
-def run_stream_index(spark: SparkSession, comments: DataFrame, runs: int = 1) -> str:
-    """Land ``comments`` as pages, then run the availableNow stream ``runs``
-    times into one index; returns the index path."""
-    base = shared_path(spark, "stream-" + uuid.uuid4().hex[:12])
-    landing, index_path, ckpt = base + "/landing", base + "/index", base + "/checkpoint"
-    IX.land_pages(comments, landing)
 
+def run_stream_index(spark: SparkSession, landing: str, index_path: str, checkpoint: str, lexicon: dict, patterns: list) -> None:
+    """Index what has landed since the checkpoint (availableNow), then return."""
     def upsert(batch: DataFrame, _epoch: int) -> None:
         rows = IX.flatten_pages(batch).drop("_file", "_seq")
-        IX.build_index(spark, enrich_batch(rows), index_path)
+        IX.build_index(batch.sparkSession, enrich_batch(rows, lexicon, patterns), index_path)
 
-    for _ in range(runs):
-        q = (spark.readStream.schema(IX.PAGE_SCHEMA).json(landing)
-             .writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    return index_path
+    (spark.readStream.schema(IX.PAGE_SCHEMA).json(landing)
+     .writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
 
 
-def stream_dedup(spark: SparkSession, comments: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Z2: pages landed twice; the stream keeps one row per comment id
-    within the watermark (``dropDuplicatesWithinWatermark``)."""
-    base = shared_path(spark, "dedup-" + uuid.uuid4().hex[:12])
-    IX.land_pages(comments, base + "/landing/a")
-    IX.land_pages(comments, base + "/landing/b")
-    s = spark.readStream.schema(IX.PAGE_SCHEMA).json(base + "/landing/*")
-    rows = IX.flatten_pages(s).withColumn("event_time", F.to_timestamp("published_at"))
+def stream_dedup(spark: SparkSession, landing: str, out: str, checkpoint: str, watermark: str = "1 hour") -> DataFrame:
+    """Z2: one row per comment id within the watermark
+    (``dropDuplicatesWithinWatermark``); a row later than the watermark is dropped."""
+    rows = IX.flatten_pages(spark.readStream.schema(IX.PAGE_SCHEMA).json(landing))
+    rows = rows.withColumn("event_time", F.to_timestamp("published_at"))
     dedup = rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["comment_id"])
-    out = base + "/out"
-    q = (dedup.select("comment_id", "video_id").writeStream.format("parquet")
-         .option("checkpointLocation", base + "/ckpt").option("path", out)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    (dedup.select("comment_id", "video_id").writeStream.format("parquet")
+     .option("checkpointLocation", checkpoint).option("path", out)
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("comment_id string, video_id string").parquet(out)
