@@ -208,8 +208,9 @@ def pandas_encoder(df: DataFrame, encode, text_col: str = "document", dim: int =
     task)."""
     import pandas as pd
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _enc(batches):
+    def encoded(batches):
         for s in batches:
             yield pd.Series(list(encode(s.tolist())))
-    return df.withColumn("embedding", _enc(F.col(text_col)))
+
+    as_udf = F.pandas_udf(encoded, T.ArrayType(T.FloatType()), F.PandasUDFType.SCALAR_ITER)
+    return df.withColumn("embedding", as_udf(F.col(text_col)))
