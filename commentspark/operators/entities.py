@@ -8,13 +8,16 @@ within a label, labels in pattern order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import sql_strip_ws, strip_ws
 
 ENTITY_STRUCT = "array<struct<text:string,label:string>>"
 
+# --- fixed values: the labels kept by default ------------------------------------
+ENTITY_LABELS = ("ORG", "PERSON", "PRODUCT", "GPE", "EVENT", "WORK_OF_ART", "FAC")
+
 # --- fixed values: labels stripped from the legacy "X (LABEL)" form -------------
 LEGACY_LABEL_SUFFIX = r" \((ORG|PERSON|PRODUCT|GPE)\)$"
 
@@ -39,6 +42,27 @@ def extract_entities(text: Column, patterns: list[tuple[str, str, int]],
     return F.array_distinct(F.filter(pairs, lambda e: e["text"] != F.lit("")))
 
 
+def gazetteer_entities(docs: DataFrame, gazetteer: DataFrame, id_col: str, text_col: str, longest: int = 3,
+                       labels: tuple[str, ...] = ENTITY_LABELS) -> DataFrame:
+    """``(id, text, label)``: distinct names of a dictionary table
+    ``(name, label)`` found in the text as runs of one to ``longest`` words.
+
+    The word n-grams are joined to the dictionary on the lower-cased name, so the
+    dictionary may be of any size: AQE broadcasts it where its bytes allow and
+    splits frequent words otherwise."""
+    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"[\p{L}\p{N}]++"), F.lit(0))
+    rows = docs.select(F.col(id_col).alias("id"), words.alias("w"))
+    grams = [F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), _run_of(n)) for n in range(1, longest + 1)]
+    grams = [F.when(F.size("w") >= n, g).otherwise(F.array().cast("array<string>")) for n, g in enumerate(grams, 1)]
+    rows = rows.select("id", F.explode(F.array_distinct(F.concat(*grams))).alias("key"))
+    names = gazetteer.where(F.col("label").isin(*labels)).select(F.lower("name").alias("key"), F.col("name").alias("text"), "label").distinct()
+    return rows.join(names, "key").select("id", "text", "label")
+
+
+def _run_of(n: int):
+    return lambda i: F.array_join(F.slice("w", i, n), " ")
+
+
 def entities_json(entities: Column) -> Column:
     """JSON list of ``{"text", "label"}`` objects (compact separators)."""
     return F.to_json(entities)

@@ -50,14 +50,16 @@ PAGE_BUCKETS = 16
 
 # P10 ----------------------------------------------------------------------------
 def conform(df: DataFrame, required: list[str] = REQUIRED, optional: dict[str, str] = OPTIONAL) -> DataFrame:
-    """Missing required column -> error; missing optional -> default literal."""
+    """Missing required column -> error; missing optional -> default literal.
+    Required columns come first, then optional ones, then the others as they were."""
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")
     for c, default in optional.items():
         if c not in df.columns:
             df = df.withColumn(c, F.expr(default))
-    return df
+    known = [*required, *optional]
+    return df.select(*known, *[c for c in df.columns if c not in known])
 
 
 # S1 / L1 / U1 ----------------------------------------------------------------------

@@ -191,6 +191,25 @@ def dense_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str
                       "distance")
 
 
+def dense_search_lsh(corpus: DataFrame, queries: DataFrame, n: int = 10, tables: int = 16, width: float = 0.5,
+                     reach: float = 2.0, seed: int = 42) -> DataFrame:
+    """Opt-in approximate nearest-``n`` by Euclidean distance, for query tables too
+    large for exact search: random-projection buckets propose candidates within
+    ``reach`` (an equi-join on bucket hashes), which are ranked by their exact distance.
+    Recall grows with ``tables`` and ``width``; a query may get fewer than ``n`` rows."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", numHashTables=tables, bucketLength=width, seed=seed)
+    docs = corpus.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    qs = queries.where(F.col("qvec").isNotNull()).select("query_id", array_to_vector(F.col("qvec").cast("array<double>")).alias("v"))
+    model = lsh.fit(qs)
+    near = model.approxSimilarityJoin(docs, qs, reach, "distance").select(
+        F.col("datasetA.id").alias("id"), F.col("datasetB.query_id").alias("query_id"), F.round("distance", SCORE_DIGITS).alias("distance"))
+    out = top_n(near, ["query_id"], [F.asc("distance"), F.asc("id")], n)
+    return out.select("query_id", "rank", "id", (F.lit(1.0) - F.col("distance")).alias("score"), "distance")
+
+
 # ------------------------------------------------------------------- RRF (X12)
 def rrf(ranked_lists: list[DataFrame], k: int = RRF_K, n: int | None = None) -> DataFrame:
     """Reciprocal rank fusion of any number of ranked lists.

@@ -84,6 +84,14 @@ def score_sentiment_table(df: DataFrame, id_col: str, text_col: str, lexicon: Da
             .drop("_ps", "_ss", "_n"))
 
 
+def compound_table(df: DataFrame, id_col: str, text_col: str, valence: DataFrame, alpha: float = COMPOUND_ALPHA) -> DataFrame:
+    """X6 with a valence *table* ``(token, valence)``: adds ``compound``."""
+    per_doc = (df.select(id_col, F.explode(ml_tokens(F.col(text_col))).alias("token"))
+               .join(valence.select("token", "valence"), "token").groupBy(id_col).agg(F.sum("valence").alias("_s")))
+    s = F.coalesce(F.col("_s"), F.lit(0.0))
+    return df.join(per_doc, id_col, "left").withColumn("compound", F.round(s / F.sqrt(s * s + F.lit(alpha)), DIGITS)).drop("_s")
+
+
 # --- SQL twins -------------------------------------------------------------------
 def _sql_case(tok: str, d: dict[str, float]) -> str:
     arms = " ".join(f"WHEN '{k}' THEN CAST({float(v)!r} AS DOUBLE)" for k, v in d.items())
