@@ -55,7 +55,7 @@ PATTERNS = {
                r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key))[\x20]?[=:][\x20]?\"?[^\s\",;]{8,255}+"),
     "national_phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[\x20]?[0-9A-Z]{4}){3,7}+(?![0-9A-Za-z])",
+    "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[\x20]?[0-9A-Z]{4}){2,7}+(?:[\x20]?[0-9A-Z]{1,3})?+(?![0-9A-Za-z])",
     "name": r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?[\x20]\p{Lu}\p{Ll}++(?:[\x20]\p{Lu}\p{Ll}++)?",
 }
 #: A text without it has no candidate of the kind.
