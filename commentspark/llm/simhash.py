@@ -40,12 +40,14 @@ _PAIR = 0x100000001  # bits j and j + 32
 
 def terms(text: Column, words: int = WORDS) -> Column:
     """Hashes of the text's terms, one for each occurrence."""
-    return F.transform(_runs(text, words), lambda t: F.xxhash64(t))
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]++"), F.lit(0))
 
+    def hashed(t: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(t) - (words - 1)), lambda i: F.xxhash64(F.slice(t, i, words)))
+        return F.when(F.size(t) >= words, runs).otherwise(F.array(F.xxhash64(t)))
 
-def _runs(text: Column, words: int) -> Column:
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]++"), F.lit(0))
-    return F.when(F.size(tokens) >= words, F.transform(F.sequence(F.lit(1), F.size(tokens) - (words - 1)), lambda i: F.slice(tokens, i, words))).otherwise(F.array(tokens))
+    # As the one element of an array, the tokens are a variable of the lambda: made once, not once for each term.
+    return F.transform(F.array(tokens), hashed)[0]
 
 
 def votes(hashed: str) -> list[Column]:
