@@ -296,12 +296,13 @@ def _memory(model: Model) -> Memory:
     return _MEMORY[model.name]
 
 
-def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id_col``, the ``keep`` columns, ``lang_pred`` and ``score`` of every row."""
+def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+             into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``id_col``, the ``keep`` columns, and the language and score (named ``into``) of every row."""
     common.workers_see_package(docs.sparkSession)
     kept = list(dict.fromkeys([id_col, *keep]))
     rows = docs.select(*kept) if text_col in kept else docs.select(*kept, text_col)
-    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string", "score double"])
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept), f"`{into[0]}` string", f"`{into[1]}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _memory(model)
@@ -320,6 +321,6 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 langs.append(model.langs[best])
                 scores.append(float(1.0 / np.exp((total - total[best]) / math.sqrt(len(own))).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             [*kept, "lang_pred", "score"])
+                                             [*kept, *into])
 
     return rows.mapInArrow(run, schema)

@@ -15,6 +15,9 @@ with a count; the join runs over the classes.
 4. A task gives each class's number of linked documents and a local spanning forest, never
    the pairs; components of the forests are the classes of near copies.
 
+Classes are named by a 64-bit hash of their words; of 10**10 different texts about three pairs
+share one by chance and would be taken for copies.
+
 Defined cases: a document that is null, empty or without a letter or digit links with
 nothing.  Every input row is a document, repeated rows included, and copies link with each
 other.  A null id counts as a link but names no class unless all ids of it are null.

@@ -71,3 +71,25 @@ def test_stage_packing(steps):
         ids = b"".join(bytes(x.ids) for x in sorted(by_doc.pop(r.doc_id), key=lambda x: x.piece))
         assert list(memoryview(ids).cast("I")) == [*tk.encode(r.text, add_special_tokens=False).ids, 2]
     assert not by_doc and max(by_seq.values()) <= 1024 and sum(by_seq.values()) / len(by_seq) > 1000
+
+
+CLASHING = ["score", "lang_pred", "key", "place", "candidates", "n_lines", "n_dropped", "id", "d", "line", "words", "ids", "length"]
+
+
+@pytest.mark.parametrize("rows", [0, 60])
+def test_empty_and_clashing_columns(spark, rows):
+    docs = common.read(spark, SF, "documents").limit(rows)
+    docs = docs.select("*", *(docs["source"].alias(c) for c in CLASHING))
+    for name, stage in corpus_pipeline.STAGES:
+        out = common.stored(stage(spark, docs, SF), f"clash-{name}")
+        assert name == "packing" or out.columns == [*COLUMNS, *CLASHING]
+        assert (out.count() > 0) == (rows > 0)
+        docs = out
+
+
+def test_key_names_itself_in_spark_and_in_the_join(spark):
+    docs = common.read(spark, SF, "documents").limit(30)
+    from commentspark.llm import ngram_join
+
+    here = {r.doc_id: r.k for r in docs.select("doc_id", ngram_join.key_of(docs["text"]).alias("k")).collect()}
+    assert here == {r.doc_id: r.key for r in ngram_join.near_copies(docs).collect()}
