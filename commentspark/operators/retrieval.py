@@ -121,7 +121,8 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
             .select("pred_key", "term", "avgdl",
                     F.when(F.col("idf0") < 0, F.lit(epsilon) * F.col("avg_idf"))
                     .otherwise(F.col("idf0")).alias("idf")))
-    qt = qterms.join(qidf, ["pred_key", "term"])
+    # One row per query and term: what follows reads it, not the vocabulary.
+    qt = materialize(qterms.join(qidf, ["pred_key", "term"]), "bm25-terms")
 
     contrib = (F.col("qtf") * F.col("idf") * F.col("tf") * F.lit(k1 + 1)
                / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))

@@ -15,7 +15,7 @@ from ..functions.predicates import doc_pred_keys
 from ..operators import sentiment as S
 from ..operators.entities import extract_entities
 from ..operators.index import hashing_encoder, sql_spot_counts, sql_token_spots, sql_unit_vector
-from ..session import constant_table
+from ..session import constant_table, materialize
 from ..sources.tables import read_table
 from .fixtures import ENTITY_PATTERNS, EVAL_QUERIES, LEXICON_A
 
@@ -72,6 +72,11 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`index_rows` written once, for plans that read them more than once."""
+    return materialize(index_rows(spark, sf_dir).drop("entities"), "index-rows")
+
+
 def embedded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of the comments that came with a vector."""
     v = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"))
