@@ -60,20 +60,25 @@ def _doc_keys(corpus: DataFrame) -> Column:
 
 # ------------------------------------------------------------------ BM25 (X11)
 def bm25_index(corpus: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Inverted index ``(pred_key, id, dl, term, tf)`` in one pass.
+    """Inverted index ``(pred_key, doc, id, dl, term, tf)``.
 
-    Each document also gets one row with ``term = NULL`` carrying its
+    ``doc`` numbers the documents in the order of their ids (ranges of ids,
+    sorted, numbered in place), so scoring and its ties work on numbers.  Each
+    document also gets one row with ``term = NULL`` carrying its id and
     length, so N and avgdl (which count documents without tokens too) come
     from the same table.  ``keys`` (one column ``pred_key``) restricts the
-    filter keys that are expanded.
+    filter keys that are expanded.  Write the index before use: the numbers
+    belong to one evaluation.
     """
-    docs = corpus.select(F.col("id"), ws_tokens("document").alias("tokens"),
-                         F.explode(_doc_keys(corpus)).alias("pred_key"))
+    docs = corpus.select("id", "document", _doc_keys(corpus).alias("keys")).repartitionByRange("id").sortWithinPartitions("id")
+    docs = docs.withColumn("doc", F.monotonically_increasing_id())
+    docs = docs.select("doc", "id", ws_tokens("document").alias("tokens"), F.explode("keys").alias("pred_key"))
     if keys is not None:
         docs = docs.join(keys, "pred_key", "left_semi")
     terms = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
-    rows = docs.select("pred_key", "id", F.size("tokens").alias("dl"), F.explode(terms).alias("term"))
-    return (rows.groupBy("pred_key", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = docs.select("pred_key", "doc", "id", F.size("tokens").alias("dl"), F.explode(terms).alias("term"))
+    rows = rows.withColumn("id", F.when(F.col("term").isNull(), F.col("id")))
+    return (rows.groupBy("pred_key", "doc", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
             .withColumn("tf", F.when(F.col("term").isNull(), F.lit(0)).otherwise(F.col("tf"))))
 
 
@@ -101,11 +106,12 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
     """
     if corpus is not None and where:
         corpus = corpus.where(compile_where(where))
-    qk = _with_keys(queries).select("query_id", "query", "pred_key")
+    qk = materialize(_with_keys(queries).select("query_id", "query", "pred_key").withColumn("q", F.monotonically_increasing_id()),
+                     "bm25-questions")
     if index is None:
         index = materialize(bm25_index(corpus, qk.select("pred_key").distinct()), "bm25-index")
 
-    docs = index.where(F.col("term").isNull()).select("pred_key", "id", "dl")
+    docs = index.where(F.col("term").isNull()).select("pred_key", "doc", "id", "dl")
     postings = index.where(F.col("term").isNotNull())
     kstats = docs.groupBy("pred_key").agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
 
@@ -114,8 +120,8 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
              .withColumn("idf0", F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)))
     avg_idf = vocab.groupBy("pred_key").agg(F.avg("idf0").alias("avg_idf"))
 
-    qterms = (qk.select("query_id", "pred_key", F.explode(ws_tokens("query")).alias("term"))
-              .groupBy("query_id", "pred_key", "term").agg(F.count(F.lit(1)).alias("qtf")))
+    qterms = (qk.select("q", "pred_key", F.explode(ws_tokens("query")).alias("term"))
+              .groupBy("q", "pred_key", "term").agg(F.count(F.lit(1)).alias("qtf")))
     qidf = (vocab.join(qterms.select("pred_key", "term").distinct(), ["pred_key", "term"], "left_semi")
             .join(avg_idf, "pred_key")
             .select("pred_key", "term", "avgdl",
@@ -126,40 +132,49 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
 
     contrib = (F.col("qtf") * F.col("idf") * F.col("tf") * F.lit(k1 + 1)
                / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))
-    hits = (postings.join(qt, ["pred_key", "term"])
-            .groupBy("query_id", "id").agg(F.sum(contrib).alias("raw"))
-            .select("query_id", "id", F.round("raw", SCORE_DIGITS).alias("s")))
 
-    hstats = (hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("H"), F.count_if(F.col("s") > 0).alias("P"),
+    def hits_of(terms: DataFrame) -> DataFrame:
+        return (postings.join(terms, ["pred_key", "term"])
+                .groupBy("q", "doc").agg(F.sum(contrib).alias("raw"))
+                .select("q", "doc", F.round("raw", SCORE_DIGITS).alias("s")))
+
+    # Best hits and statistics come from one shuffle of the hits, in one job.
+    hits = hits_of(qt)
+
+    hstats = (hits.groupBy("q").agg(F.count(F.lit(1)).alias("H"), F.count_if(F.col("s") > 0).alias("P"),
                                            F.min("s").alias("hmin"), F.max("s").alias("hmax")))
-    qstats = (qk.join(kstats, "pred_key").join(hstats, "query_id", "left")
-              .select("query_id", "pred_key", "N", F.coalesce("H", F.lit(0)).alias("H"),
+    best = top_n(hits, ["q"], [F.desc("s"), F.asc("doc")], n, "_r").drop("_r")
+    both = materialize(best.unionByName(hstats, allowMissingColumns=True), "bm25-best")
+    best, hstats = both.where("doc is not null").select("q", "doc", "s"), both.where("doc is null").drop("doc", "s")
+    qstats = (qk.join(kstats, "pred_key").join(hstats, "q", "left")
+              .select("q", "query_id", "pred_key", "N", F.coalesce("H", F.lit(0)).alias("H"),
                       F.coalesce("P", F.lit(0)).alias("P"), "hmin", "hmax"))
     gap = F.col("H") < F.col("N")   # some docs have no hit -> a 0 score exists
     # One row per query, read by each consumer below.
     qstats = materialize(qstats.select(
-        "query_id", "pred_key", "H", "P", gap.alias("gap"),
+        "q", "query_id", "pred_key", "H", "P", gap.alias("gap"),
         F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.least("hmin", F.lit(0.0)))
         .otherwise(F.col("hmin")).alias("smin"),
         F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.greatest("hmax", F.lit(0.0)))
         .otherwise(F.col("hmax")).alias("smax")), "bm25-queries")
 
     # Zero-score fillers: documents without a hit, for queries with fewer than n positive scores.
-    # With fewer than n hits, n of the 2n smallest ids have none; with more (hits that score 0 or
-    # below) the query's own hits are taken from all documents.
-    short = qstats.where(F.col("gap") & (F.col("P") < n))
-    window_ids = top_n(docs.select("pred_key", "id"), ["pred_key"], [F.col("id")], 2 * n, "_r").drop("_r")
-    offered = (short.where(F.col("H") < n).select("query_id", "pred_key").join(window_ids, "pred_key")
-               .unionByName(short.where(F.col("H") >= n).select("query_id", "pred_key").join(docs.select("pred_key", "id"), "pred_key")))
-    fill = offered.join(hits.select("query_id", "id"), ["query_id", "id"], "left_anti")
-    fill = top_n(fill, ["query_id"], [F.col("id")], n, "_r").select("query_id", "id", F.lit(0.0).alias("s"))
-
-    best = top_n(hits, ["query_id"], [F.desc("s"), F.asc("id")], n, "_r").drop("_r")
-    cands = best.unionByName(fill).join(qstats.select("query_id", "smin", "smax"), "query_id").withColumn(
+    # With fewer than n hits, all of them among the best, n of the 2n first documents have none; with
+    # more (hits that score 0 or below) they are taken from all documents.
+    short = qstats.where(F.col("gap") & (F.col("P") < n)).select("q", "pred_key", "H")
+    first = top_n(docs.select("pred_key", "doc"), ["pred_key"], [F.col("doc")], 2 * n, "_r").drop("_r")
+    few, many = short.where(F.col("H") < n).drop("H"), short.where(F.col("H") >= n).drop("H")
+    fill = (few.join(first, "pred_key").join(best, ["q", "doc"], "left_anti").unionByName(
+        many.join(docs.select("pred_key", "doc"), "pred_key").join(
+            hits_of(qt.join(many.select("q"), "q", "left_semi")), ["q", "doc"], "left_anti")))
+    fill = top_n(fill, ["q"], [F.col("doc")], n, "_r").select("q", "doc", F.lit(0.0).alias("s"))
+
+    cands = best.unionByName(fill).join(qstats.select("q", "query_id", "pred_key", "smin", "smax"), "q").withColumn(
         "norm", F.when(F.col("smax") > F.col("smin"),
                        (F.col("s") - F.col("smin")) / (F.col("smax") - F.col("smin")))
         .otherwise(F.lit(0.0)))
-    out = top_n(cands, ["query_id"], [F.desc("norm"), F.asc("id")], n, "rank")
+    out = top_n(cands, ["q"], [F.desc("norm"), F.asc("doc")], n, "rank")
+    out = out.join(docs.select("pred_key", "doc", "id"), ["pred_key", "doc"])
     return out.select("query_id", "rank", "id", F.col("s").alias("score"),
                       (F.lit(1.0) - F.col("norm")).alias("distance"))
 
