@@ -67,8 +67,11 @@ def coder(path: str, pattern: str) -> tiktoken.Encoding:
 
 
 def tokenise(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-             end_id: int = END_ID) -> DataFrame:
-    """One row per input row: ``id_col``, ``ids`` (binary, little-endian unsigned 32-bit, end id included)."""
+             end_id: int = END_ID, width: int = 4) -> DataFrame:
+    """One row per input row: ``id_col``, ``ids`` (binary, little-endian unsigned, end id included).
+
+    ``width`` is an id's number of bytes, 4 or, for vocabularies of at most 65,536 ids, 2.
+    """
     common.workers_see_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), common.text_or_empty(text_col).alias("text"))
 
@@ -77,7 +80,7 @@ def tokenise(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
         for batch in common.slices(batches):
             out = []
             for text in batch.column("text"):
-                ids = array("I", enc.encode(text.as_py(), allowed_special="all"))
+                ids = array({2: "H", 4: "I"}[width], enc.encode(text.as_py(), allowed_special="all"))
                 ids.append(end_id)
                 out.append(ids.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.binary())], ["id", "ids"])
@@ -85,16 +88,16 @@ def tokenise(docs: DataFrame, vocab: str, pattern: str, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids binary").withColumnRenamed("id", id_col)
 
 
-def cut(tokenised: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
-    """One row per piece: ``id_col``, ``piece``, ``start``, ``length``, ``ids`` (the piece's)."""
-    n = (F.length("ids") / 4).cast("long")
+def cut(tokenised: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", width: int = 4) -> DataFrame:
+    """One row per piece: ``id_col``, ``piece``, ``start``, ``length``, ``ids`` (the piece's, ``width`` bytes each)."""
+    n = (F.length("ids") / width).cast("long")
     first = F.when(n <= capacity, n).otherwise((n - 1) % capacity + 1)
     rows = tokenised.select(id_col, "ids", n.alias("n"), first.alias("first"))
     rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil((F.col("n") - F.col("first")) / capacity).cast("int"))))
     start = F.when(F.col("piece") == 0, F.lit(0)).otherwise(F.col("first") + (F.col("piece") - 1) * capacity).cast("long")
     length = F.when(F.col("piece") == 0, F.col("first")).otherwise(F.lit(capacity)).cast("long")
     return rows.select(id_col, "piece", start.alias("start"), length.alias("length"), "ids").withColumn(
-        "ids", F.expr("substring(ids, cast(start * 4 + 1 as int), cast(length * 4 as int))"))
+        "ids", F.expr(f"substring(ids, cast(start * {width} + 1 as int), cast(length * {width} as int))"))
 
 
 class TightestFit:
