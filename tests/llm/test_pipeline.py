@@ -93,3 +93,14 @@ def test_key_names_itself_in_spark_and_in_the_join(spark):
 
     here = {r.doc_id: r.k for r in docs.select("doc_id", ngram_join.key_of(docs["text"]).alias("k")).collect()}
     assert here == {r.doc_id: r.key for r in ngram_join.near_copies(docs).collect()}
+
+
+def test_line_dedup_keeps_lines_before_blanks(spark):
+    shared, ends = "this license line is shared", ["\r\n", " \n", "\t\n", " \r\n", "\f\n", "\n", "\n\r\r\n"]
+    own = [" ".join("abcdefghijklmnopqrstu"[i] + x for x in ("lpha", "eta", "amma", "elta")) for i in range(21)]
+    rows = [(i, ends[i // 3].join([shared, own[i], ""])) for i in range(21)]
+    rows += [(100, shared + "\r\n"), (101, shared + " \r\n\r\n"), (102, shared + "\r\nup to three \r\n"), (103, shared + "\n" + "\r" * 100_000 + "\n")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    brute = dict(test_line_dedup.brute(rows))
+    assert {i: brute[i] for i in range(21)} == {i: got.get(i) for i in range(21)}
+    assert not {100, 101, 103} & got.keys()
