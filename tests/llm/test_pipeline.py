@@ -104,3 +104,17 @@ def test_line_dedup_keeps_lines_before_blanks(spark):
     brute = dict(test_line_dedup.brute(rows))
     assert {i: brute[i] for i in range(21)} == {i: got.get(i) for i in range(21)}
     assert not {100, 101, 103} & got.keys()
+
+
+def test_line_dedup_keeps_short_lines_of_their_own(spark):
+    shared = "this license line is shared"
+    left = ["\n".join(["Roses", "are red \r"]), "\u4e00\u884c\u5b57" * 9, "first verse\nsame verse", "same  verse\nsame verse", "same verse", "both have", "both have", "", "lone line", "in a text"]
+    rows = [(None, shared + "\nfor null ids"), (0, shared)] + [(i, shared + "\n" + x) for i, x in enumerate(left, 1)]
+    rows += [(50, "in a text"), (51, "in a text\nand a line of some more words"), (52, None), (53, ""), (3, shared + "\nunder one id")]
+    df = spark.createDataFrame([(a, b, True, 7) for a, b in rows], "doc_id long, text string, poor boolean, d int")
+    out = corpus_pipeline.lines(spark, df, SF)
+    assert out.columns == df.columns
+    got = {(r.doc_id, r.text) for r in out.collect()}
+    gone = {(0, shared)} | {(i, rows[i + 1][1]) for i in (4, 5, 7, 8, 10)}
+    brute = list(test_line_dedup.brute(rows))
+    assert got == {new for old, new in zip(rows, brute, strict=True) if old not in gone}
