@@ -24,7 +24,8 @@ text that is one long run costs linear time.
 
 Defined cases: a null text is empty and has no span; every input row gives one output row;
 matches of one kind never overlap, matches of different kinds may, but an added span never
-overlaps a base one.
+overlaps a base one: a secret of any length that still is one up to the first base span in it
+is cut into the pieces beside base spans, other added spans that meet one go.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp_|xox[abp]-|sk-)[A-Za-z0-9-]{16,255}+|"
-               r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key))[\x20]?[=:][\x20]?\"?[^\s\",;]{8,255}+"),
+    "secret": (r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp_|xox[abp]-|sk-)[A-Za-z0-9-]{16,}+|"
+               r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key))[\x20]?[=:][\x20]?\"?[^\s\",;]{8,}+"),
     "national_phone": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[\x20]?[0-9A-Z]{4}){2,7}+(?:[\x20]?[0-9A-Z]{1,3})?+(?![0-9A-Za-z])",
@@ -140,7 +141,7 @@ def _code(kind: str, found: Column, before: Column, after: Column) -> Column:
         "iban": _vote(found.rlike("^(?:DE|FR|ES|GB|IT|NL)[0-9]{2}"), found.rlike("^[A-Z]{2}00")),
         "name": _vote(found.rlike(r" \p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$"), never),
     }[kind]
-    body = F.regexp_extract(found, r"([^=:\s\"]+)$", 1)
+    body = F.regexp_extract(found, r"(?<![^=:\s\"])([^=:\s\"]++)$", 1)
     structure = {
         "email": _vote(size.between(6, 64), size > 254),
         "ip": _vote(octets_fit(found), found.rlike("^0")),
@@ -177,6 +178,10 @@ def _code(kind: str, found: Column, before: Column, after: Column) -> Column:
 FEATURES = ("abcd", "nml", "eswp", "eswp", "yn")
 
 
+def _meet(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
 def candidates(docs: DataFrame, text_col: str = "text", into: str = "candidates") -> DataFrame:
     """Adds an array of (kind, start, end, code), in the order of the kinds, then of the starts."""
     text = common.text_or_empty(text_col)
@@ -189,8 +194,18 @@ def candidates(docs: DataFrame, text_col: str = "text", into: str = "candidates"
                             _code(kind, m["found"], text.substr(low + 1, start - low), text.substr(end + 1, F.lit(2))).alias("code"))
         return F.transform(matches(text, kind), one)
 
+    def beside(c: Column) -> Column:
+        hits = F.array_sort(F.transform(F.filter(into, lambda b: _meet(b, c)), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+        piece = lambda low, high: F.struct(c["kind"].alias("kind"), low.alias("start"), high.alias("end"), c["code"].alias("code"))
+        begin = F.struct(c["start"].alias("at"), F.filter(F.array(c), lambda _: F.lit(False)).alias("out"))
+        grown = lambda a, high: F.when(a["at"] < high, F.concat(a["out"], F.array(piece(a["at"], high)))).otherwise(a["out"])
+        pieces = F.aggregate(hits, begin, lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), grown(a, b["start"]).alias("out")), lambda a: grown(a, c["end"]))
+        head = text.substr(c["start"] + 1, F.get(hits, F.lit(0))["start"] - c["start"])
+        return F.when(F.size(hits) == 0, F.array(c)).when(head.rlike("^(?:" + PATTERNS["secret"] + ")"), pieces).otherwise(F.slice(pieces, 1, 0))
+
     df = docs.withColumn(into, F.concat(*(told(k) for k in BASE)))
-    added = F.filter(F.concat(*(told(k) for k in ADDED)), lambda c: ~F.exists(into, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    added = F.filter(F.concat(*(told(k) for k in ADDED[1:])), lambda c: ~F.exists(into, lambda b: _meet(b, c)))
+    added = F.concat(F.flatten(F.transform(told(ADDED[0]), beside)), added)
     return df.withColumn(into, F.concat(into, added))
 
 

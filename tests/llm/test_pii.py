@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from commentspark.llm import pii
 
@@ -48,6 +49,28 @@ def test_added_spans_and_redaction(spark):
     assert got[4] == clean and got[5] == "write <EMAIL> or <PHONE>" and "0641917ea4" not in got[1]
 
 
+def test_long_secrets_are_redacted_whole(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9." + "aZ09_-" * 110 + "." + "b7" * 11
+    texts = [f"my token={jwt} ok", f"use sk-{'a1B2' * 200} here", f"api_key: {'c3D4' * 25_000}== end", f"token={'a1' * 100_000}:{'=:' * 50_000}b2"]
+    many = ["a token = \"0641917ea4e9feb9cda83477b57ac2654884f485\" b", "my password=e3b3ed3cc8548923d6 ok", texts[0], texts[1], "nothing to hide in section 12-34."] * 40
+    df = pii.candidates(spark.createDataFrame(list(enumerate(texts + many)), "doc_id long, text string")).cache()
+    found = df.select("doc_id", F.expr("candidates[0]").alias("c"), F.size("candidates").alias("n"))
+    spans = {r.doc_id: (r.c.kind, r.c.start, r.c.end, r.n) for r in found.filter("doc_id < 4").collect()}
+    assert spans == {0: ("secret", 3, len(texts[0]) - 3, 1), 1: ("secret", 4, len(texts[1]) - 5, 1), 2: ("secret", 0, len(texts[2]) - 4, 1), 3: ("secret", 0, len(texts[3]), 1)}
+    out = df.withColumn("found", pii.spans("candidates", pii.fit(df)))
+    got = {r.doc_id: r.t for r in out.select("doc_id", pii.redacted(out["text"], out["found"]).alias("t")).filter("doc_id < 2").collect()}
+    assert got == {0: "my <SECRET> ok", 1: "use <SECRET> here"}
+
+
+def test_secrets_beside_base_spans(spark):
+    a = "a1B2" * 90
+    texts = [f"token={a}:10.0.0.1:{a}", "password=foo@bar.com", f"token={a}:10.0.0.1:4111111111111111"]
+    df = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = {r.doc_id: [(c.kind, c.start, c.end) for c in r.candidates] for r in df.collect()}
+    assert got[0] == [("ip", 367, 375), ("secret", 0, 367), ("secret", 375, 736)] and got[1] == [("email", 9, 20)]
+    assert got[2] == [("ip", 367, 375), ("card", 376, 392), ("secret", 0, 367), ("secret", 375, 376)]
+
+
 def test_empty_table(spark):
     df = pii.candidates(spark.createDataFrame([], "doc_id long, text string"))
     assert pii.fit(df) == [] and df.count() == 0
