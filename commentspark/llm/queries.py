@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, embed_dedup, langid, line_dedup, ngram_join, packing, pii, simhash, url_filter, warc
+from . import bpe, common, divergence, embed_dedup, langid, line_dedup, mixing, ngram_join, packing, pii, simhash, spelling, url_filter, warc
 
 QUERIES = {}
 ORACLE = {}
@@ -125,3 +125,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_url_filter"] = url_filter.judged_sql(URL_RULES)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The term shares of every source against the other sources of its language, and the terms that set it apart."""
+    return divergence.audit(common.read(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_source_divergence"] = divergence.audit_sql()
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every recurring word with its near words' number, its form and its root."""
+    return spelling.variants(common.read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what a mix of the sources by their weights takes of it."""
+    return mixing.mix(common.read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
