@@ -3,13 +3,13 @@
 How far the term frequencies of each source lie from those of the other sources of its
 language (part ``pair``), and which terms set it apart from its language (part ``term``).
 
-1. A task counts the terms of its documents in a dictionary of bounded size.  Its rows, one
-   per (group, term), are written with the term's text beside its 64-bit digest; groups and
-   languages are numbers too, by a seed under which no two of them share one.
-2. Counts are shuffled by digest only: the text column is not read for them.
-3. A digest that at least ``MIN_DOCS`` documents of a language have may be a kept term.  The least
-   and the greatest text of each digest, taken once per task's dictionary, tell whether it stands for one
-   term; those of a digest with two or more are counted again by their text and numbered apart.
+1. A task counts the terms of its documents in a dictionary of bounded size, and sends out numbers
+   only: language, group and term digest, 64 bits each, and the counts.  Languages and groups get
+   theirs by a seed under which no two share one.
+2. One shuffle by digest sums the counts by group, then by language.  Digests that at least ``MIN_DOCS`` documents
+   of a language have may be kept terms; their rows are written.
+3. The least and the greatest text of each such digest, taken from one per task that met it, tell whether it stands for one
+   term.  Those of a digest with two or more are counted again by their text and numbered apart.
 4. Pair values are sums over blocks of terms and blocks of sources: a task fills the matrix
    of its terms and sources, zero counts included, and gives one number per pair of sources.
 5. Texts join only what goes out: the first ``TOP`` terms of each group and those tied with the last.
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,9 @@ TOP = 10
 SCALE = 1_000_000_000
 SEED = 11
 #: Entries of a task's dictionary before its rows go out, and rows of a batch.
-ENTRIES, ROWS = 300_000, 50_000
+ENTRIES, ROWS = 800_000, 50_000
+#: Bits for each digest in the filter that thins out texts before they join, and bits in all at most.
+FILTER_BITS, MOST_BITS = 16, 1 << 24
 #: Bytes of a text that are split at once.
 SLICE = 1 << 20
 #: Terms and sources of a task that sums pairs, and terms of one step of it.
@@ -60,28 +63,23 @@ def terms_of(raw: bytes) -> Iterator[list[bytes]]:
         low = high
 
 
-def _digest(term: Column, bits: int) -> Column:
-    return F.xxhash64(term) if bits == 64 else F.xxhash64(term).bitwiseAND(F.lit((1 << bits) - 1))
+def digests(terms: list[bytes], bits: int = 64) -> np.ndarray:
+    found = np.fromiter((xxhash.xxh64_intdigest(t) for t in terms), np.uint64, len(terms))
+    return (found if bits == 64 else found & np.uint64((1 << bits) - 1)).view(np.int64)
 
 
-def _counted(texts: DataFrame) -> DataFrame:
-    """(l, g, term, n, docs, first) of rows (l, g, text): counts of the terms a task met in a group; ``first`` marks one
-    row of each term in the task's dictionary."""
-    schema = "l long, g long, term string, n long, docs long, first boolean"
+def _counted(texts: DataFrame, bits: int, with_term: bool = False) -> DataFrame:
+    """(l, g, digest, n, docs) of rows (l, g, text), and the term if asked: counts of each term that a task met in a group."""
+    names = ["l", "g", "digest", "n", "docs", *(["term"] if with_term else [])]
 
     def rows(langs: dict, totals: dict, docs: dict) -> Iterator[pa.RecordBatch]:
-        named: set[bytes] = set()
         for g, total in totals.items():
-            terms = list(total)
-            met = docs[g]
+            terms, met = list(total), docs[g]
             for low in range(0, len(terms), ROWS):
                 some = terms[low:low + ROWS]
-                firsts = [t not in named for t in some]
-                named.update(some)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([langs[g]] * len(some), pa.int64()), pa.array([g] * len(some), pa.int64()),
-                    pa.array(some, pa.binary()).cast(pa.string()), pa.array([total[t] for t in some], pa.int64()),
-                    pa.array([met[t] for t in some], pa.int64()), pa.array(firsts)], ["l", "g", "term", "n", "docs", "first"])
+                columns = [pa.array(np.full(len(some), langs[g])), pa.array(np.full(len(some), g)), pa.array(digests(some, bits)),
+                           pa.array([total[t] for t in some], pa.int64()), pa.array([met[t] for t in some], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *([pa.array(some, pa.binary()).cast(pa.string())] if with_term else [])], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[int, int] = {}
@@ -104,7 +102,42 @@ def _counted(texts: DataFrame) -> DataFrame:
                     langs, totals, docs, entries = {}, {}, {}, 0
         yield from rows(langs, totals, docs)
 
-    return texts.mapInArrow(run, schema)
+    return texts.select("l", "g", "text").mapInArrow(run, ", ".join(f"{n} {'string' if n == 'term' else 'long'}" for n in names))
+
+
+def _named(texts: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
+    """(digest, low, high): the least and the greatest text of each wanted digest."""
+    count = wanted.count()
+    size = 1 << min(MOST_BITS.bit_length() - 1, max(6, (FILTER_BITS * count).bit_length()))
+    spot = F.col("digest").bitwiseAND(F.lit(size - 1))
+    words = wanted.groupBy(F.shiftright(spot, 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), spot.bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).collect()
+    filled = np.zeros(size >> 6, np.int64)
+    filled[[w["word"] for w in words]] = [w["bits"] for w in words]
+    filled = filled.view(np.uint64)
+
+    def rows(terms: set[bytes]) -> Iterator[pa.RecordBatch]:
+        listed = list(terms)
+        for low in range(0, len(listed), ROWS):
+            some = listed[low:low + ROWS]
+            found = digests(some, bits)
+            at = found.view(np.uint64) & np.uint64(size - 1)
+            asked = (filled[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            yield pa.RecordBatch.from_arrays([pa.array(found[asked]), pa.array(some, pa.binary()).filter(pa.array(asked)).cast(pa.string())], ["digest", "term"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms: set[bytes] = set()
+        for batch in common.slices(batches):
+            for text in batch.column("text").cast(pa.binary()):
+                for words in terms_of(text.as_py()):
+                    terms.update(words)
+                if len(terms) > ENTRIES:
+                    yield from rows(terms)
+                    terms = set()
+        yield from rows(terms)
+
+    met = texts.select("text").mapInArrow(run, "digest long, term string")
+    return met.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")).join(wanted, "digest")
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -146,27 +179,28 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     common.workers_see_package(docs.sparkSession)
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
     groups, seed = _groups(docs)
-    met = _counted(docs.withColumns(_numbers(seed)).select("l", "g", "text"))
-    met = common.stored(met.withColumn("digest", _digest(F.col("term"), digest_bits)), "divergence-terms")
-
+    docs = docs.withColumns(_numbers(seed))
     sums = F.sum("n").alias("n"), F.sum("docs").alias("docs")
-    counts = common.stored(met.groupBy("l", "g", "digest").agg(*sums), "divergence-counts")
-    enough = F.col("docs") >= min_docs
-    maybe = counts.groupBy("l", "digest").agg(F.sum("docs").alias("docs")).filter(enough).select("digest").distinct()
-    texts = met.filter("first").groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high"))
-    texts = common.stored(texts.join(maybe, "digest"), "divergence-texts")
+    in_lang = Window.partitionBy("digest", "l")
+    # The tasks' dictionaries have combined what they could: rows are dealt by digest, for the sums by group and by language alike.
+    counts = _counted(docs, digest_bits).repartition("digest").groupBy("digest", "l", "g").agg(*sums)
+    counts = counts.withColumns({"in_lang": F.sum("n").over(in_lang), "docs": F.sum("docs").over(in_lang)}).filter(F.col("docs") >= min_docs)
+    have = common.stored(counts.select("digest", "l", "g", "n", "in_lang"), "divergence-counts")
+    texts = common.stored(_named(docs, have.select("digest").distinct(), digest_bits), "divergence-texts")
 
-    # A digest of several terms: these are counted by their text, and numbered from 1 within the digest.
     mixed = texts.filter("low != high").select("digest")
-    apart = common.stored(met.join(mixed, "digest").groupBy("l", "g", "digest", "term").agg(*sums), "divergence-split")
-    numbered = apart.select("digest", "term").distinct().withColumn("k", F.row_number().over(Window.partitionBy("digest").orderBy("term")))
-    counts = counts.join(mixed, "digest", "left_anti").select("l", "g", "digest", F.lit(0).alias("k"), "n", "docs").unionByName(
-        apart.join(numbered, ["digest", "term"]).select("l", "g", "digest", "k", "n", "docs"))
-    texts = texts.filter("low = high").select("digest", F.lit(0).alias("k"), F.col("low").alias("term")).unionByName(numbered.select("digest", "k", "term"))
-
-    kept = counts.groupBy("l", "digest", "k").agg(F.sum("n").alias("in_lang"), F.sum("docs").alias("docs")).filter(enough).drop("docs")
-    kept = common.stored(kept, "divergence-kept")
-    have = common.stored(counts.drop("docs").join(kept, ["l", "digest", "k"]), "divergence-have")
+    terms = texts.filter("low = high").select("digest", F.lit(0).alias("k"), F.col("low").alias("term"))
+    have = have.withColumn("k", F.lit(0))
+    if not mixed.isEmpty():
+        # A digest of several terms: these are counted by their text, and numbered from 1 within the digest.
+        by_text = Window.partitionBy("digest", "l", "term")
+        apart = _counted(docs, digest_bits, with_term=True).join(mixed, "digest").groupBy("digest", "l", "g", "term").agg(*sums)
+        apart = apart.withColumns({"in_lang": F.sum("n").over(by_text), "docs": F.sum("docs").over(by_text)}).filter(F.col("docs") >= min_docs)
+        apart = apart.withColumn("k", F.dense_rank().over(Window.partitionBy("digest").orderBy("term")))
+        apart = common.stored(apart, "divergence-split")
+        have = have.join(mixed, "digest", "left_anti").unionByName(apart.select("digest", "l", "g", "n", "in_lang", "k"))
+        terms = terms.unionByName(apart.select("digest", "k", "term").distinct())
+    kept = common.stored(have.groupBy("l", "digest", "k").agg(F.first("in_lang").alias("in_lang")), "divergence-kept")
     of_lang = kept.groupBy("l").agg(F.count("*").alias("terms"), F.sum("in_lang").alias("lang_total"))
     of_group = have.groupBy("g").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
@@ -176,7 +210,7 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     shares = have.join(facts.select("g", "terms", "lang_total", "total"), "g").select(
         "l", "g", "digest", "k", "terms", _share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
         _share(F.col("in_lang"), F.col("lang_total"), F.col("terms")).alias("q"))
-    return _top_terms(shares, facts, texts, top).unionByName(_pairs(shares, kept, facts))
+    return _top_terms(shares, facts, terms, top).unionByName(_pairs(shares, kept, facts))
 
 
 def _top_terms(shares: DataFrame, facts: DataFrame, texts: DataFrame, top: int) -> DataFrame:
