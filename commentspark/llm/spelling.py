@@ -8,7 +8,7 @@ the largest count, if that has at least ``RATIO`` times its own; its root is whe
    if the difference lies behind the first h letters, these are equal, otherwise the last L - h are.  So a
    word of m letters goes to four groups, by its first and its last letters with L = m - 1 and L = m; a pair of equal
    first halves counts in the group of first halves, any other in that of last ones.
-3. A group of any size is cut into blocks, and each pair of blocks is a task.  A block is an index of
+3. Groups of one length share bins, and a bin of any size is cut into blocks, of which each pair is a task.  A block is an index of
    bitsets: for each (position, letter) the words that have it there.  All words of the other block
    run through it at once, letter by letter, keeping four bitsets each: no error so far, and one error with the
    position unchanged (replaced), one ahead (inserted) or one behind (deleted).
@@ -97,17 +97,19 @@ def counted(docs: DataFrame, id_col: str, text_col: str, min_length: int = MIN_L
 
 
 def _places(words: DataFrame, min_length: int) -> DataFrame:
-    """(word, n, len, side, half, blocks, block) for each group of two words or more."""
+    """(word, n, len, side, bin, blocks, block) for each bin of two words or more."""
     m = F.length("word")
     parts = F.explode(F.array(*(F.struct((m - less).alias("len"), F.lit(side).alias("side")) for less in (1, 0) for side in (0, 1)))).alias("part")
     out = words.select("word", "n", parts).select("word", "n", "part.*").filter(F.col("len") >= min_length)
     first = F.floor(F.col("len") / 2).cast("int")
     half = F.when(F.col("side") == 0, F.substring("word", F.lit(1), first)).otherwise(F.substring("word", first - F.col("len"), F.col("len") - first))
-    out = out.withColumn("half", F.xxhash64(half))
-    group = ["len", "side", "half"]
+    # Halves of one length and side share bins of about half a block: small groups are one task's work together.
+    bins = common.stored(out.groupBy("len", "side").agg(F.ceil(F.count("*") * 2 / BLOCK).alias("bins")), "spelling-bins")
+    out = out.withColumn("hash", F.xxhash64(half)).join(bins, ["len", "side"]).withColumn("bin", F.pmod("hash", "bins"))
+    group = ["len", "side", "bin"]
     share = F.least(F.lit(BLOCK), F.greatest(F.lit(1), F.floor(BLOCK_LETTERS / (F.col("len") + 3))))
     sizes = out.groupBy(*group).agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / share).cast("int")).drop("size")
-    return out.join(sizes, group).withColumn("block", F.pmod(F.xxhash64("word", F.lit(1)), F.col("blocks")).cast("int"))
+    return out.select("word", "n", *group).join(sizes, group).withColumn("block", F.pmod(F.xxhash64("word", F.lit(1)), F.col("blocks")).cast("int"))
 
 
 def near_matrix(queries: np.ndarray, lengths: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -196,7 +198,7 @@ def _compare(table: pa.Table) -> pa.RecordBatch | None:
 
 def near_words(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     """(word, n_near, form, form_n) of (word, n), for words with a near one; ``form`` is the near word of the largest count."""
-    task = ["len", "side", "half", "i", "j"]
+    task = ["len", "side", "bin", "i", "j"]
     rows = common.block_pairs(_places(words, min_length), "blocks", "block").repartition(*task).sortWithinPartitions(*task)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
