@@ -103,6 +103,23 @@ def sql_ml_tokens(x: str) -> str:
     return f"regexp_extract_all(lower({x}), {_sq(ML_TOKEN_RE)})"
 
 
+# A14 --------------------------------------------------------------------------
+def bound(value: Column, then) -> Column:
+    """``then(value)``, with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def term_counts(tokens: Column) -> Column:
+    """``array<struct<term, tf>>`` of a token array, terms in order, null without tokens: counted inside the row, by
+    sorting it and taking the distance from each term's first place to the next one's."""
+    def counts(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return bound(first, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).cast("long").alias("tf"))))
+
+    return bound(F.sort_array(tokens), lambda s: F.when(F.size(s) > 0, counts(s)))
+
+
 # F4 ---------------------------------------------------------------------------
 # The English stop-word list that Spark ML's StopWordsRemover loads, in its order.
 ENGLISH_STOP_WORDS = tuple("""

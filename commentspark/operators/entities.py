@@ -63,11 +63,6 @@ def _run_of(n: int):
     return lambda i: F.array_join(F.slice("w", i, n), " ")
 
 
-def entities_json(entities: Column) -> Column:
-    """JSON list of ``{"text", "label"}`` objects (compact separators)."""
-    return F.to_json(entities)
-
-
 def legacy_entity_string(entities: Column) -> Column:
     """The ``"X (LABEL), Y (LABEL)"`` form older reports consumed."""
     return F.array_join(F.transform(entities, lambda e: F.concat(e["text"], F.lit(" ("), e["label"],

@@ -1,22 +1,25 @@
 """Incremental Parquet index (X9, J1, A20, S5-S7), landed-page ingest (S1,
 L1, U1) and encoders (X8).
 
-The vector store is a Parquet table: appends are ``write.mode("append")``, a
-reset is ``mode("overwrite")``, scans prune columns, and re-runs skip the ids
-already present.  It is read with the schema it is written with, so a video
-id is never guessed to be a number.
+The vector store is a bucketed Parquet table (:mod:`commentspark.sources.bucketed`): buckets by
+the hash of the id, so new rows meet the ids already there without a shuffle of the
+index; folders by ``video_bucket`` and files sorted by topic and polarity, so filters prune
+folders and row groups.  Re-runs skip the ids already present.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
-from ..functions.ranking import top_n
+from ..functions.predicates import compile_where
 from ..functions.scalars import ENTITY_JSON_CAP, safe_float, safe_int, sanitize_json_list
-from ..session import materialize, path_exists
+from ..session import workers_see_package
+from ..sources import bucketed
 
 REQUIRED = ["video_id", "comment_id", "clean_text"]
 OPTIONAL = {"sentiment_polarity": "0.0", "sentiment_subjectivity": "0.0", "entities": "'[]'",
@@ -26,8 +29,17 @@ INDEX_SCHEMA = ("id string, document string, video_id string, comment_id string,
                 "sentiment_subjectivity double, entities string, entity_list array<struct<text:string,label:string>>, "
                 "entities_truncated boolean, topic_id int, embedding array<float>")
 
-INDEX_COLUMNS = ["id", "document", "video_id", "comment_id", "sentiment_polarity", "sentiment_subjectivity", "entities",
-                 "entity_list", "entities_truncated", "topic_id", "embedding"]
+#: Folders that videos are dealt to.
+VIDEO_BUCKETS = 16
+
+
+def video_bucket(video_id: Column) -> Column:
+    return F.pmod(F.xxhash64(video_id), F.lit(VIDEO_BUCKETS)).cast("int")
+
+
+def index_layout(buckets: int) -> bucketed.Layout:
+    return bucketed.Layout(INDEX_SCHEMA + ", video_bucket int", ("id",), buckets, ("video_bucket",), ("topic_id", "sentiment_polarity"))
+
 
 PAGE_SCHEMA = T.StructType([
     T.StructField("nextPageToken", T.StringType()),
@@ -130,9 +142,9 @@ def prepare_index_rows(df: DataFrame) -> DataFrame:
 
 def read_index(spark: SparkSession, index_path: str) -> DataFrame:
     """The index table; empty where none is written yet.  Any other failure to read is an error."""
-    if not path_exists(spark, index_path):
-        return spark.createDataFrame([], INDEX_SCHEMA)
-    return spark.read.schema(INDEX_SCHEMA).parquet(index_path)
+    if not bucketed.exists(spark, index_path):
+        return spark.createDataFrame([], INDEX_SCHEMA + ", video_bucket int")
+    return bucketed.open_table(spark, index_path)
 
 
 def existing_ids(spark: SparkSession, index_path: str) -> DataFrame:
@@ -140,29 +152,44 @@ def existing_ids(spark: SparkSession, index_path: str) -> DataFrame:
     return read_index(spark, index_path).select("id")
 
 
-def build_index(spark: SparkSession, rows: DataFrame, index_path: str, reset: bool = False) -> DataFrame:
+def in_videos(videos: list[str]) -> Column:
+    """The videos' rows, with the folders they can lie in named too: the scan lists no other."""
+    return F.col("video_id").isin(*videos) & F.col("video_bucket").isin(*(video_bucket(F.lit(v)) for v in videos))
+
+
+def filtered(index: DataFrame, where: dict[str, Any] | None) -> DataFrame:
+    """P5/P6 on the stored index: the conditions reach the scan, and videos asked for by name prune its folders."""
+    named = (where or {}).get("video_id")
+    if named is not None and not isinstance(named, dict) and "video_bucket" in index.columns:
+        index = index.where(in_videos([named] if isinstance(named, str) else list(named)))
+    return index.where(compile_where(where))
+
+
+def build_index(spark: SparkSession, rows: DataFrame, index_path: str, reset: bool = False, buckets: int | None = None) -> DataFrame:
     """X9: append rows whose id is not yet indexed; returns one counter row
     ``candidates, skipped_existing, added, truncated`` (A20).
 
-    Of several rows with one id the first in the order of all their columns is
+    Of several rows with one id the first in the order of a hash of all their columns is
     indexed; the others count as skipped.  ``reset`` starts from an empty
-    index (S6).  The flagged candidates are written once to the shared folder,
-    so the counters and the append read the same rows even if executors are
-    lost."""
+    index (S6).  ``buckets`` counts for a new index (the session's shuffle partitions by default).
+
+    One job reads the input once: rows are shuffled to the index's buckets, meet the ids there, and
+    are counted in the tasks that write them (``observe``), whose counts Spark takes once however often a task runs."""
+    if reset or not bucketed.exists(spark, index_path):
+        bucketed.create(spark, index_path, index_layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))))
     prepared = prepare_index_rows(rows)
     if "embedding" not in prepared.columns:
-        prepared = prepared.withColumn("embedding", F.lit(None).cast("array<float>"))
-    prepared = prepared.withColumn("embedding", F.col("embedding").cast("array<float>"))
-    cand = top_n(prepared, ["id"], [F.xxhash64(*prepared.columns), F.col("document")], 1, "_nth")
-    have = spark.createDataFrame([], "id string") if reset else existing_ids(spark, index_path)
-    cand = cand.join(have.distinct().withColumn("_have", F.lit(True)), "id", "left")
-    cand = materialize(cand.withColumn("_new", F.col("_have").isNull()), "index-candidates")
-    new = cand.where("_new").select(*INDEX_COLUMNS)
-    new.write.mode("overwrite" if reset else "append").parquet(index_path)
-    # Distinct candidates come from the written table, all of them from the input.
-    total = prepared.select(F.count(F.lit(1)).alias("candidates"), F.count_if("entities_truncated").alias("truncated")).first()
-    added = cand.select(F.count_if("_new").alias("added")).first()["added"]
-    return spark.createDataFrame([(total["candidates"], total["candidates"] - added, added, total["truncated"])],
+        prepared = prepared.withColumn("embedding", F.lit(None))
+    prepared = prepared.withColumns({"embedding": F.col("embedding").cast("array<float>"), "video_bucket": video_bucket(F.col("video_id"))})
+    dealt = bucketed.dealt(prepared, bucketed.layout_of(spark, index_path))
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64(*prepared.columns), "document")) == 1
+    have = bucketed.open_table(spark, index_path).select("id", F.lit(True).alias("_have"))
+    flagged = dealt.withColumn("_first", first).join(have, "id", "left").withColumn("_new", F.col("_first") & F.col("_have").isNull())
+    counts = Observation()
+    flagged = flagged.observe(counts, F.count(F.lit(1)).alias("candidates"), F.count_if("_new").alias("added"), F.count_if("entities_truncated").alias("truncated"))
+    bucketed.append(flagged.where("_new"), index_path)
+    n = counts.get
+    return spark.createDataFrame([(n["candidates"], n["candidates"] - n["added"], n["added"], n["truncated"])],
                                  "candidates long, skipped_existing long, added long, truncated long")
 
 
@@ -170,22 +197,25 @@ def build_index(spark: SparkSession, rows: DataFrame, index_path: str, reset: bo
 HEX = "0123456789abcdef"
 
 
-def hashing_encoder(df: DataFrame, id_col: str, text_col: str = "document", into: str = "embedding") -> DataFrame:
-    """Native encoder: counts of the vectorizer tokens in 64 buckets (six
-    bits of the token's MD5), L2-normalised, as ``array<float>``; a text
-    without tokens is the zero vector.  ``id_col`` tells rows apart.
+def hashed_counts(text: Column) -> Column:
+    """Unit vector of the vectorizer tokens' counts in 64 buckets (six bits of the token's MD5), as
+    ``array<float>``; a text without tokens is the zero vector.  All within the row."""
+    def spot(token: Column) -> Column:
+        md5 = F.md5(token)
+        return (F.instr(F.lit(HEX), F.substring(md5, 1, 1)) - 1) * 4 + F.floor((F.instr(F.lit(HEX), F.substring(md5, 2, 1)) - 1) / 4).cast("int")
+
+    def dense(counts: Column) -> Column:
+        spread = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.coalesce(F.try_element_at(counts, k), F.lit(0)).cast("double"))
+        return TX.bound(spread, lambda v: TX.bound(F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)),
+                                                   lambda norm: F.transform(v, lambda x: (x / norm).cast("float"))))
+
+    counted = TX.bound(TX.term_counts(F.transform(TX.ml_tokens(text), spot)), lambda c: F.when(c.isNotNull(), dense(F.map_from_entries(c))))
+    return F.coalesce(counted, F.array_repeat(F.lit(0.0).cast("float"), 64))
 
-    The counts are one aggregation over the exploded tokens, combined where the
-    tokens are made."""
-    md5 = F.md5("_token")
-    spot = (F.instr(F.lit(HEX), F.substring(md5, 1, 1)) - 1) * 4 + F.floor((F.instr(F.lit(HEX), F.substring(md5, 2, 1)) - 1) / 4)
-    tokens = df.select(id_col, F.explode(TX.ml_tokens(F.col(text_col))).alias("_token")).select(id_col, spot.alias("_spot"))
-    counts = tokens.groupBy(id_col).agg(*(F.count_if(F.col("_spot") == k).cast("double").alias(f"_{k}") for k in range(64)))
-    counts = counts.select(F.col(id_col).alias("_id"), F.array(*(F.col(f"_{k}") for k in range(64))).alias("_v"))
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
-    vector = F.transform("_v", lambda x: (x / norm).cast("float"))
-    out = df.join(counts, F.col(id_col) == F.col("_id"), "left")
-    return out.withColumn(into, F.coalesce(vector, F.array_repeat(F.lit(0.0).cast("float"), 64))).drop("_id", "_v")
+
+def hashing_encoder(df: DataFrame, text_col: str = "document", into: str = "embedding") -> DataFrame:
+    """Native encoder: :func:`hashed_counts` of each row's text."""
+    return df.withColumn(into, hashed_counts(F.col(text_col)))
 
 
 def sql_token_spots(tokens: str) -> str:
@@ -204,15 +234,52 @@ def sql_unit_vector(counts: str) -> str:
             f"ELSE list_transform({counts}, lambda x: CAST(x / {norm} AS FLOAT)) END")
 
 
-def pandas_encoder(df: DataFrame, encode, text_col: str = "document", dim: int = 384) -> DataFrame:
-    """User-supplied model ``encode(list[str]) -> list[list[float]]`` applied
-    through an iterator pandas UDF (Arrow batches; the model loads once per
-    task)."""
+#: Texts of one call of a model.
+ENCODE_ROWS = 64
+_MODELS: dict[str, Any] = {}
+
+
+def pandas_encoder(df: DataFrame, make_model, text_col: str = "document", rows: int = ENCODE_ROWS) -> DataFrame:
+    """User-supplied model applied through an iterator pandas UDF.
+
+    ``make_model()`` returns a callable ``encode(list[str]) -> list[list[float]]``; a Python worker calls it
+    once, however many of this query's tasks it runs, and ``encode`` gets ``rows`` texts a call (the last call of a task may
+    get fewer, whatever the sizes of its Arrow batches).  A null text is encoded as ''."""
+    import uuid
+
     import pandas as pd
 
+    workers_see_package(df.sparkSession)
+    token = uuid.uuid4().hex
+
     def encoded(batches):
-        for s in batches:
-            yield pd.Series(list(encode(s.tolist())))
+        from commentspark.operators import index as worker
+
+        if token not in worker._MODELS:
+            worker._MODELS.clear()  # models of earlier queries
+            worker._MODELS[token] = make_model()
+        encode = worker._MODELS[token]
+        # Vectors go out in series as long as the batches that came in.
+        waiting: list[str] = []
+        sizes: list[int] = []
+        vectors: list = []
+
+        def ready():
+            while sizes and len(vectors) >= sizes[0]:
+                n = sizes.pop(0)
+                out, vectors[:] = vectors[:n], vectors[n:]
+                yield pd.Series(out, dtype=object)
+
+        for batch in batches:
+            waiting += ["" if t is None else t for t in batch.tolist()]
+            sizes.append(len(batch))
+            while len(waiting) >= rows:
+                some, waiting[:] = waiting[:rows], waiting[rows:]
+                vectors += list(encode(some))
+            yield from ready()
+        if waiting:
+            vectors += list(encode(waiting))
+        yield from ready()
 
     as_udf = F.pandas_udf(encoded, T.ArrayType(T.FloatType()), F.PandasUDFType.SCALAR_ITER)
     return df.withColumn("embedding", as_udf(F.col(text_col)))

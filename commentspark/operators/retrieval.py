@@ -27,21 +27,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import compile_where
 from ..functions.ranking import distance as vec_distance
 from ..functions.ranking import top_n
-from ..functions.text import ws_tokens
-from ..session import materialize
+from . import postings
+from .index import filtered
+from .postings import ALL_KEY, BM25_B, BM25_EPSILON, BM25_K1, SCORE_DIGITS
 
-# --- fixed values: BM25 (Okapi) and RRF defaults ---------------------------------
-BM25_K1 = 1.5
-BM25_B = 0.75
-BM25_EPSILON = 0.25
+# --- fixed values: RRF default ----------------------------------------------------
 RRF_K = 60
-# Scores are rounded before ranking so summation order cannot reorder ties.
-SCORE_DIGITS = 6
 RRF_DIGITS = 12
-ALL_KEY = "all"
 # Copies of the query table that dense search deals the vectors of a key over.
 SALTS = 32
 
@@ -59,32 +53,9 @@ def _doc_keys(corpus: DataFrame) -> Column:
 
 
 # ------------------------------------------------------------------ BM25 (X11)
-def bm25_index(corpus: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Inverted index ``(pred_key, doc, id, dl, term, tf)``.
-
-    ``doc`` numbers the documents in the order of their ids (ranges of ids,
-    sorted, numbered in place), so scoring and its ties work on numbers.  Each
-    document also gets one row with ``term = NULL`` carrying its id and
-    length, so N and avgdl (which count documents without tokens too) come
-    from the same table.  ``keys`` (one column ``pred_key``) restricts the
-    filter keys that are expanded.  Write the index before use: the numbers
-    belong to one evaluation.
-    """
-    docs = corpus.select("id", "document", _doc_keys(corpus).alias("keys")).repartitionByRange("id").sortWithinPartitions("id")
-    docs = docs.withColumn("doc", F.monotonically_increasing_id())
-    docs = docs.select("doc", "id", ws_tokens("document").alias("tokens"), F.explode("keys").alias("pred_key"))
-    if keys is not None:
-        docs = docs.join(keys, "pred_key", "left_semi")
-    terms = F.concat(F.array(F.lit(None).cast("string")), F.col("tokens"))
-    rows = docs.select("pred_key", "doc", "id", F.size("tokens").alias("dl"), F.explode(terms).alias("term"))
-    rows = rows.withColumn("id", F.when(F.col("term").isNull(), F.col("id")))
-    return (rows.groupBy("pred_key", "doc", "id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-            .withColumn("tf", F.when(F.col("term").isNull(), F.lit(0)).otherwise(F.col("tf"))))
-
-
 def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
                 k1: float = BM25_K1, b: float = BM25_B, epsilon: float = BM25_EPSILON,
-                index: DataFrame | None = None, where: dict | None = None) -> DataFrame:
+                index: postings.Postings | None = None, where: dict | None = None) -> DataFrame:
     """Okapi BM25 top-``n`` per query, distances ``1 - minmax(score)``.
 
     Semantics (fixed): tokens are ``lower().split()``; every document of the
@@ -95,88 +66,13 @@ def bm25_search(corpus: DataFrame | None, queries: DataFrame, n: int = 10,
     normalisation puts the best hit at distance 0, a weak-evidence guard on
     these distances only fires for empty or all-tied results.
 
-    Plan: the inverted index (:func:`bm25_index`) is built once and
-    written as Parquet to the shared checkpoint folder (or passed in prebuilt);
-    query terms join it on (key, term) -- no size hint: AQE broadcasts what
-    its bytes allow and splits the postings of common terms otherwise -- and
-    scores aggregate by (query, doc), combined before the one shuffle that
-    both the statistics and the ranking read.  Documents without a hit are
-    never paired with queries, but for the fillers of queries with fewer
-    than ``n`` positive scores.
+    Plan: :mod:`commentspark.operators.postings`.  ``index`` is a persisted one, which is searched as it is;
+    without it one is built of the (filtered) corpus for this search.
     """
-    if corpus is not None and where:
-        corpus = corpus.where(compile_where(where))
-    qk = materialize(_with_keys(queries).select("query_id", "query", "pred_key").withColumn("q", F.monotonically_increasing_id()),
-                     "bm25-questions")
+    queries = _with_keys(queries)
     if index is None:
-        index = materialize(bm25_index(corpus, qk.select("pred_key").distinct()), "bm25-index")
-
-    docs = index.where(F.col("term").isNull()).select("pred_key", "doc", "id", "dl")
-    postings = index.where(F.col("term").isNotNull())
-    kstats = docs.groupBy("pred_key").agg(F.count(F.lit(1)).alias("N"), F.avg("dl").alias("avgdl"))
-
-    vocab = (postings.groupBy("pred_key", "term").agg(F.count(F.lit(1)).alias("df"))
-             .join(kstats, "pred_key")
-             .withColumn("idf0", F.log(F.col("N") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)))
-    avg_idf = vocab.groupBy("pred_key").agg(F.avg("idf0").alias("avg_idf"))
-
-    qterms = (qk.select("q", "pred_key", F.explode(ws_tokens("query")).alias("term"))
-              .groupBy("q", "pred_key", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    qidf = (vocab.join(qterms.select("pred_key", "term").distinct(), ["pred_key", "term"], "left_semi")
-            .join(avg_idf, "pred_key")
-            .select("pred_key", "term", "avgdl",
-                    F.when(F.col("idf0") < 0, F.lit(epsilon) * F.col("avg_idf"))
-                    .otherwise(F.col("idf0")).alias("idf")))
-    # One row per query and term: what follows reads it, not the vocabulary.
-    qt = materialize(qterms.join(qidf, ["pred_key", "term"]), "bm25-terms")
-
-    contrib = (F.col("qtf") * F.col("idf") * F.col("tf") * F.lit(k1 + 1)
-               / (F.col("tf") + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))))
-
-    def hits_of(terms: DataFrame) -> DataFrame:
-        return (postings.join(terms, ["pred_key", "term"])
-                .groupBy("q", "doc").agg(F.sum(contrib).alias("raw"))
-                .select("q", "doc", F.round("raw", SCORE_DIGITS).alias("s")))
-
-    # Best hits and statistics come from one shuffle of the hits, in one job.
-    hits = hits_of(qt)
-
-    hstats = (hits.groupBy("q").agg(F.count(F.lit(1)).alias("H"), F.count_if(F.col("s") > 0).alias("P"),
-                                           F.min("s").alias("hmin"), F.max("s").alias("hmax")))
-    best = top_n(hits, ["q"], [F.desc("s"), F.asc("doc")], n, "_r").drop("_r")
-    both = materialize(best.unionByName(hstats, allowMissingColumns=True), "bm25-best")
-    best, hstats = both.where("doc is not null").select("q", "doc", "s"), both.where("doc is null").drop("doc", "s")
-    qstats = (qk.join(kstats, "pred_key").join(hstats, "q", "left")
-              .select("q", "query_id", "pred_key", "N", F.coalesce("H", F.lit(0)).alias("H"),
-                      F.coalesce("P", F.lit(0)).alias("P"), "hmin", "hmax"))
-    gap = F.col("H") < F.col("N")   # some docs have no hit -> a 0 score exists
-    # One row per query, read by each consumer below.
-    qstats = materialize(qstats.select(
-        "q", "query_id", "pred_key", "H", "P", gap.alias("gap"),
-        F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.least("hmin", F.lit(0.0)))
-        .otherwise(F.col("hmin")).alias("smin"),
-        F.when(F.col("H") == 0, F.lit(0.0)).when(gap, F.greatest("hmax", F.lit(0.0)))
-        .otherwise(F.col("hmax")).alias("smax")), "bm25-queries")
-
-    # Zero-score fillers: documents without a hit, for queries with fewer than n positive scores.
-    # With fewer than n hits, all of them among the best, n of the 2n first documents have none; with
-    # more (hits that score 0 or below) they are taken from all documents.
-    short = qstats.where(F.col("gap") & (F.col("P") < n)).select("q", "pred_key", "H")
-    first = top_n(docs.select("pred_key", "doc"), ["pred_key"], [F.col("doc")], 2 * n, "_r").drop("_r")
-    few, many = short.where(F.col("H") < n).drop("H"), short.where(F.col("H") >= n).drop("H")
-    fill = (few.join(first, "pred_key").join(best, ["q", "doc"], "left_anti").unionByName(
-        many.join(docs.select("pred_key", "doc"), "pred_key").join(
-            hits_of(qt.join(many.select("q"), "q", "left_semi")), ["q", "doc"], "left_anti")))
-    fill = top_n(fill, ["q"], [F.col("doc")], n, "_r").select("q", "doc", F.lit(0.0).alias("s"))
-
-    cands = best.unionByName(fill).join(qstats.select("q", "query_id", "pred_key", "smin", "smax"), "q").withColumn(
-        "norm", F.when(F.col("smax") > F.col("smin"),
-                       (F.col("s") - F.col("smin")) / (F.col("smax") - F.col("smin")))
-        .otherwise(F.lit(0.0)))
-    out = top_n(cands, ["q"], [F.desc("norm"), F.asc("doc")], n, "rank")
-    out = out.join(docs.select("pred_key", "doc", "id"), ["pred_key", "doc"])
-    return out.select("query_id", "rank", "id", F.col("s").alias("score"),
-                      (F.lit(1.0) - F.col("norm")).alias("distance"))
+        index = postings.build(filtered(corpus, where), keys=queries.select("pred_key").distinct())
+    return postings.search(index, queries, n, k1, b, epsilon)
 
 
 # ----------------------------------------------------------------- Dense (X10)
@@ -192,8 +88,7 @@ def dense_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str
     partial ``WindowGroupLimit`` keeps ``n`` rows per query per task before
     the ranking shuffle.
     """
-    if where:
-        corpus = corpus.where(compile_where(where))
+    corpus = filtered(corpus, where)
     qk = _with_keys(queries).select("query_id", "qvec", "pred_key")
     vecs = corpus.select("id", "embedding", F.explode(_doc_keys(corpus)).alias("pred_key"))
     vecs = (vecs.join(qk.select("pred_key").distinct(), "pred_key", "left_semi")
@@ -207,25 +102,6 @@ def dense_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str
                       "distance")
 
 
-def dense_search_lsh(corpus: DataFrame, queries: DataFrame, n: int = 10, tables: int = 16, width: float = 0.5,
-                     reach: float = 2.0, seed: int = 42) -> DataFrame:
-    """Opt-in approximate nearest-``n`` by Euclidean distance, for query tables too
-    large for exact search: random-projection buckets propose candidates within
-    ``reach`` (an equi-join on bucket hashes), which are ranked by their exact distance.
-    Recall grows with ``tables`` and ``width``; a query may get fewer than ``n`` rows."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", numHashTables=tables, bucketLength=width, seed=seed)
-    docs = corpus.select("id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    qs = queries.where(F.col("qvec").isNotNull()).select("query_id", array_to_vector(F.col("qvec").cast("array<double>")).alias("v"))
-    model = lsh.fit(qs)
-    near = model.approxSimilarityJoin(docs, qs, reach, "distance").select(
-        F.col("datasetA.id").alias("id"), F.col("datasetB.query_id").alias("query_id"), F.round("distance", SCORE_DIGITS).alias("distance"))
-    out = top_n(near, ["query_id"], [F.asc("distance"), F.asc("id")], n)
-    return out.select("query_id", "rank", "id", (F.lit(1.0) - F.col("distance")).alias("score"), "distance")
-
-
 # ------------------------------------------------------------------- RRF (X12)
 def rrf(ranked_lists: list[DataFrame], k: int = RRF_K, n: int | None = None) -> DataFrame:
     """Reciprocal rank fusion of any number of ranked lists.
@@ -253,16 +129,11 @@ def rrf(ranked_lists: list[DataFrame], k: int = RRF_K, n: int | None = None) ->
 
 # ---------------------------------------------------------------- Hybrid (X13)
 def hybrid_search(corpus: DataFrame, queries: DataFrame, n: int = 10, metric: str = "l2",
-                  k: int = RRF_K, where: dict | None = None) -> DataFrame:
+                  k: int = RRF_K, where: dict | None = None, index: postings.Postings | None = None) -> DataFrame:
     """Dense top-2n and BM25 top-2n over the same (filtered) corpus, fused
     by RRF and cut to ``n``.  A query whose filtered corpus is empty gets no
-    rows."""
+    rows.  ``index`` holds the corpus's postings; a filter changes the statistics, so with one they are
+    built of what it leaves."""
     dense = dense_search(corpus, queries, 2 * n, metric, where=where)
-    lexical = bm25_search(corpus, queries, 2 * n, where=where)
+    lexical = bm25_search(filtered(corpus, where), queries, 2 * n, index=None if where else index)
     return rrf([dense, lexical], k=k, n=n)
-
-
-def attach_payload(results: DataFrame, corpus: DataFrame, cols: list[str]) -> DataFrame:
-    """Join document text / metadata back onto a ranked result (W8: the
-    payload comes from the corpus by id, never from the fused lists)."""
-    return results.join(corpus.select("id", *cols), "id", "left")

@@ -14,8 +14,11 @@ from ..functions import text as T
 from ..functions.predicates import doc_pred_keys
 from ..operators import sentiment as S
 from ..operators.entities import extract_entities
-from ..operators.index import hashing_encoder, sql_spot_counts, sql_token_spots, sql_unit_vector
-from ..session import constant_table, materialize
+from ..operators import cells as CE
+from ..operators import index as IX
+from ..operators import postings as PO
+from ..operators.index import hashed_counts, sql_spot_counts, sql_token_spots, sql_unit_vector
+from ..session import constant_table, kept
 from ..sources.tables import read_table
 from .fixtures import ENTITY_PATTERNS, EVAL_QUERIES, LEXICON_A
 
@@ -59,10 +62,8 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read_table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("doc_id"), "embedding", F.col("label").alias("topic_id"))
     j = e.join(v, "doc_id", "left")
-    # Only comments without a vector have tokens to encode.
-    text = F.when(F.col("embedding").isNull(), F.col("clean_text")).otherwise(F.lit(""))
-    j = hashing_encoder(j.withColumn("to_encode", text), "doc_id", "to_encode", "encoded")
-    j = j.withColumns({"embedding": F.coalesce("embedding", "encoded"), "topic_id": F.coalesce("topic_id", F.lit(-1))})
+    # Only comments without a vector are encoded.
+    j = j.withColumns({"embedding": F.coalesce("embedding", hashed_counts(F.col("clean_text"))), "topic_id": F.coalesce("topic_id", F.lit(-1))})
     return j.select(
         F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"),
         "doc_id", "video_id", "comment_id",
@@ -72,9 +73,35 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`index_rows` written once, for plans that read them more than once."""
-    return materialize(index_rows(spark, sf_dir).drop("entities"), "index-rows")
+def _inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("documents", "embeddings")]
+
+
+def to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`index_rows` as the index builder takes them."""
+    return index_rows(spark, sf_dir).withColumnRenamed("document", "clean_text").drop("pred_keys")
+
+
+def open_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index of every comment, with the router filter keys that each row satisfies.
+
+    It is built once while the tables stay as they are; searches and filters open it."""
+    path = kept(spark, "index", _inputs(sf_dir), lambda folder: IX.build_index(spark, to_index(spark, sf_dir), folder + "/rows"))
+    rows = IX.read_index(spark, path + "/rows")
+    return rows.withColumn("pred_keys", doc_pred_keys(F.col("sentiment_polarity"), F.col("topic_id")))
+
+
+def open_postings(spark: SparkSession, sf_dir: str) -> PO.Postings:
+    """The stored postings of the index's documents, likewise."""
+    path = kept(spark, "postings", _inputs(sf_dir), lambda folder: PO.build(open_index(spark, sf_dir), folder + "/bm25"))
+    return PO.opened(spark, path + "/bm25")
+
+
+def open_cells(spark: SparkSession, sf_dir: str) -> CE.Cells:
+    """The stored cells of the index's vectors, likewise."""
+    path = kept(spark, "cells", _inputs(sf_dir), lambda folder: CE.build(
+        open_index(spark, sf_dir).drop("document", "entities", "entity_list"), folder + "/cells"))
+    return CE.opened(spark, path + "/cells")
 
 
 def embedded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +112,7 @@ def embedded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexical_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All cleaned comments as a BM25 corpus (``id``, ``document``)."""
+    """All cleaned comments (``id``, ``document``)."""
     c = cleaned(spark, sf_dir)
     return c.select(F.concat(F.lit("comment_"), "video_id", F.lit("_"), "comment_id").alias("id"),
                     F.col("clean_text").alias("document"))

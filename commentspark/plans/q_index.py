@@ -43,7 +43,7 @@ def x9_index_build(spark, sf):
     """Build the Parquet index of every comment in a fresh shared folder, then
     scan it back with column pruning; the entity list is whole beside its cut JSON."""
     path = fresh_path(spark, "index")
-    rows = C.index_rows(spark, sf).withColumnRenamed("document", "clean_text").drop("pred_keys")
+    rows = C.to_index(spark, sf)
     IX.build_index(spark, rows, path)
     out = IX.read_index(spark, path).withColumn("n_entities", F.size("entity_list"))
     return typed(out.withColumn("entities_truncated", F.col("entities_truncated").cast("long")), S_X9)
@@ -54,7 +54,7 @@ def x9_index_build(spark, sf):
 def s6_reset(spark, sf):
     """Reset: a second build with ``reset`` replaces the whole index by its own rows."""
     path = fresh_path(spark, "index")
-    rows = C.index_rows(spark, sf).withColumnRenamed("document", "clean_text").drop("pred_keys")
+    rows = C.to_index(spark, sf)
     IX.build_index(spark, rows, path)
     IX.build_index(spark, rows.where(F.col("sentiment_polarity") < 0), path, reset=True)
     return typed(IX.read_index(spark, path), S_J1)
@@ -71,7 +71,7 @@ S_A20 = [("run", "bigint"), ("candidates", "bigint"), ("skipped_existing", "bigi
 def a20_incremental_counters(spark, sf):
     """Two runs over the same input: the second skips every id (J1 anti-join)."""
     path = fresh_path(spark, "index")
-    rows = C.index_rows(spark, sf).withColumnRenamed("document", "clean_text").drop("pred_keys")
+    rows = C.to_index(spark, sf)
     c1 = IX.build_index(spark, rows, path).withColumn("run", F.lit(1))
     c2 = IX.build_index(spark, rows, path).withColumn("run", F.lit(2))
     return typed(c1.unionByName(c2), S_A20)
@@ -145,7 +145,7 @@ S_X8 = [("doc_id", "bigint"), ("dims", "bigint"), ("norm", "double"), ("first",
 def x8_hashing_embeddings(spark, sf):
     """Native encoder (hashed term counts, L2-normalised) over every comment."""
     c = C.cleaned(spark, sf).select("doc_id", F.col("clean_text").alias("document"))
-    e = IX.hashing_encoder(c, "doc_id")
+    e = IX.hashing_encoder(c)
     return typed(e.select("doc_id", F.size("embedding").alias("dims"), norm2(F.col("embedding")).alias("norm"),
                           F.col("embedding")[0].alias("first"), F.array_max("embedding").alias("largest")), S_X8)
 

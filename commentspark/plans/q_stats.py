@@ -8,6 +8,9 @@ from ..functions.ranking import top_n
 from ..functions.scalars import excerpt, sql_excerpt
 from ..operators.entities import legacy_entity_string, parse_legacy_entities
 from ..operators.sentiment import sentiment_label, sql_sentiment_label
+from ..functions import text as T
+from ..operators import sketches as SK
+from ..session import fresh_path
 from . import corpus as C
 from .catalog import register, sql_typed, typed
 from .fixtures import ENTITY_PATTERNS
@@ -45,7 +48,7 @@ S_A2 = [("total_comments", "bigint"), ("unique_videos", "bigint"), ("avg_len", "
     "SELECT CAST(count(*) AS BIGINT) AS total_comments, CAST(count(DISTINCT video_id) AS BIGINT) AS unique_videos, "
     "round(avg(length(clean_text)), 6) AS avg_len, round(CAST(median(length(clean_text)) AS DOUBLE), 6) AS median_len FROM cleaned"))
 def a2_a3_overview(spark, sf):
-    """Row count, distinct videos, mean and exact (interpolated) median length."""
+    """Row count, distinct videos, mean and exact (interpolated) median length (sketches: ``a2_term_sketches``)."""
     c = C.cleaned(spark, sf)
     out = c.agg(F.count(F.lit(1)).alias("total_comments"), F.count_distinct("video_id").alias("unique_videos"),
                 F.avg(F.length("clean_text")).alias("avg_len"), F.median(F.length("clean_text")).alias("median_len"))
@@ -118,7 +121,7 @@ S_A15 = [("video_id", "string")]
     "SELECT DISTINCT CAST(video_id AS VARCHAR) AS video_id FROM idx WHERE video_id IS NOT NULL AND video_id <> ''"))
 def a15_distinct_videos(spark, sf):
     """Sorted distinct video ids from the index metadata, falsy dropped."""
-    i = C.index_rows(spark, sf).select("video_id")
+    i = C.open_index(spark, sf).select("video_id")
     out = i.where(F.col("video_id").isNotNull() & (F.col("video_id") != "")).distinct().orderBy("video_id")
     return typed(out, S_A15)
 
@@ -167,6 +170,34 @@ def a21_entity_totals(spark, sf):
                        F.count_distinct("entity").alias("unique_mentions")), S_A21B)
 
 
+S_SK = [("video_id", "string"), ("n_terms", "bigint"), ("unique_terms", "bigint"), ("estimate_holds", "bigint")]
+
+
+def _sketch_sql():
+    return _sql([f"tk AS (SELECT video_id, unnest({T.sql_ml_tokens('clean_text')}) AS term FROM cleaned)"],
+                "SELECT CAST(coalesce(video_id, '(all)') AS VARCHAR) AS video_id, CAST(count(*) AS BIGINT) AS n_terms, "
+                "CAST(count(DISTINCT term) AS BIGINT) AS unique_terms, CAST(1 AS BIGINT) AS estimate_holds "
+                "FROM tk GROUP BY GROUPING SETS ((video_id), ())")
+
+
+@register("a2_term_sketches", _sketch_sql)
+def a2_term_sketches(spark, sf):
+    """Distinct terms per video and of all by stored sketches, written in two loads and merged without a rescan, beside
+    the exact count: the estimate holds if it is within three standard errors of it."""
+    terms = C.cleaned(spark, sf).select("doc_id", F.coalesce("video_id", F.lit("(none)")).alias("video_id"), F.explode(T.ml_tokens("clean_text")).alias("term"))
+    path = fresh_path(spark, "term-sketches")
+    for load in (0, 1):
+        SK.keep(SK.sketched(terms.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == load), ["video_id"], F.col("term")), path)
+    stored = SK.kept(spark, path)
+    found = SK.merged(stored, ["video_id"]).unionByName(SK.merged(stored, []).withColumn("video_id", F.lit("(all)")))
+    pairs = terms.select("video_id", "term").distinct()
+    exact = pairs.groupBy("video_id").agg(F.count(F.lit(1)).alias("unique_terms")).unionByName(
+        pairs.select(F.lit("(all)").alias("video_id"), "term").distinct().groupBy("video_id").agg(F.count(F.lit(1)).alias("unique_terms")))
+    holds = F.abs(F.col("n_distinct") - F.col("unique_terms")) <= F.ceil(F.col("unique_terms") * SK.error_bound())
+    out = found.join(exact, "video_id").select("video_id", F.col("n").alias("n_terms"), "unique_terms", holds.cast("long").alias("estimate_holds"))
+    return typed(out, S_SK)
+
+
 S_W5 = [("sentiment_label", "string"), ("rank", "bigint"), ("doc_id", "bigint"), ("polarity", "double"),
         ("excerpt", "string")]
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from ..functions.ranking import sql_distance
 from ..functions.text import sql_ws_tokens
-from ..operators.retrieval import BM25_B, BM25_EPSILON, BM25_K1, RRF_DIGITS, RRF_K, SCORE_DIGITS
+from ..operators.postings import BM25_B, BM25_EPSILON, BM25_K1, SCORE_DIGITS
+from ..operators.retrieval import RRF_DIGITS, RRF_K
 
 
 def bm25_ctes(tag: str, corpus: str, queries: str, n: int, keyed: bool = False) -> list[str]:

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import hashlib
+import json
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 SCAN_PARTITIONS = "spark.commentspark.scanPartitions"
 
 _WRITTEN: list[str] = []
+_KEPT: list[str] = []
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -78,30 +82,77 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A shared folder that no other call gets; :func:`drop_written` removes it."""
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     if not _WRITTEN:
-        atexit.register(_drop_at_exit, spark)
+        atexit.register(_drop_at_exit, spark, _WRITTEN)
     _WRITTEN.append(path)
     return path
 
 
-def drop_written(spark: SparkSession) -> None:
+def drop_written(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Remove the intermediate tables written so far.  Frames that read them
     must have been consumed: callers do it between queries, and it happens at exit."""
-    jvm = spark.sparkContext._jvm
-    if jvm is None:
+    paths = _WRITTEN if paths is None else paths
+    if spark.sparkContext._jvm is None:
         return
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    while paths:
+        delete_path(spark, paths.pop())
 
 
-def _drop_at_exit(spark: SparkSession) -> None:
+def _drop_at_exit(spark: SparkSession, paths: list[str]) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone by now
-        drop_written(spark)
+        drop_written(spark, paths)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, by Spark's file systems."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def kept(spark: SparkSession, name: str, inputs: list[str], build: Callable[[str], None]) -> str:
+    """The folder that ``build`` filled from the ``inputs`` as they are now (their files' paths, sizes and times), built
+    on the first call only.  It stays until the application ends, unlike the tables of one query."""
+    state = []
+    for path in inputs:
+        fs, p = _fs(spark, path)
+        state += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)]
+    key = hashlib.md5(json.dumps([inputs, sorted(state)]).encode()).hexdigest()[:16]
+    path = shared_path(spark, f"kept-{name}-{key}")
+    if not path_exists(spark, path + "/_done"):
+        delete_path(spark, path)
+        if not _KEPT:
+            atexit.register(_drop_at_exit, spark, _KEPT)
+        _KEPT.append(path)
+        build(path)
+        write_note(spark, path + "/_done", "")
+    return path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -114,6 +165,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def workers_see_package(spark: SparkSession) -> None:
+    """Python workers started after this call find this package where the
+    driver has it (a cluster installs the package, or ships it as a py-file)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if PACKAGE_ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+
+
 def constant_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small constant table built JVM-side (``inline`` of a literal array of
     structs): no Python workers are needed to scan it."""

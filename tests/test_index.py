@@ -39,10 +39,94 @@ def test_entity_list_is_whole(spark):
     assert len(r.entities) == 800 and r.entities_truncated and len(r.entity_list) == 60
 
 
-def test_user_encoder(spark):
-    df = spark.createDataFrame([(str(i), "x" * i) for i in range(5)], "id string, document string")
-    out = IX.pandas_encoder(df, lambda texts: [[float(len(t)), 1.0] for t in texts], dim=2).collect()
-    assert {r.id: list(r.embedding) for r in out} == {str(i): [float(i), 1.0] for i in range(5)}
+def test_user_encoder(spark, tmp_path):
+    """A worker makes the model once; calls get 64 texts, whatever the Arrow batches' sizes."""
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def make_model():
+        import os
+        import uuid
+        (log / f"model-{os.getpid()}-{uuid.uuid4().hex}").touch()
+
+        def encode(texts):
+            (log / f"call-{len(texts)}-{uuid.uuid4().hex}").touch()
+            return [[float(len(t)), 1.0] for t in texts]
+        return encode
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        df = spark.range(330).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") != 7, F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("document"))
+        out = IX.pandas_encoder(df.coalesce(1), make_model).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.id: list(r.embedding) for r in out} == {str(i): [float(i if i != 7 else 0), 1.0] for i in range(330)}
+    names = [f.name for f in log.iterdir()]
+    assert len([n for n in names if n.startswith("model")]) == 1
+    assert sorted(int(n.split("-")[1]) for n in names if n.startswith("call")) == [10, 64, 64, 64, 64, 64]
+    many = IX.pandas_encoder(df.repartition(12), make_model).collect()
+    pids = [f.name.split("-")[1] for f in log.iterdir() if f.name.startswith("model")]
+    assert len(many) == 330 and len(pids) - 1 <= len(set(pids)) <= len(pids)  # once per worker and query
+
+
+def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_build_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "index")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(it):
+        for batch in it:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(500).selectExpr("concat('v', id % 7) AS video_id", "cast(id AS string) AS comment_id", "concat('text ', id) AS clean_text")
+    rows = rows.mapInPandas(count, rows.schema)
+    for added in (500, 0):
+        seen.value = 0
+        assert tuple(IX.build_index(spark, rows, path, buckets=4).first()) == (500, 500 - added, added, 0)
+        assert seen.value == 500
+
+
+def test_new_rows_meet_the_index_without_moving_it(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = spark.createDataFrame([(f"v{i % 3}", str(i), f"text {i}") for i in range(60)], ROWS)
+    IX.build_index(spark, rows, path, buckets=4)
+    index = IX.existing_ids(spark, path)
+    new = IX.prepare_index_rows(rows).select("id").repartition(4, "id").hint("merge")
+    plan = plan_of(new.join(index.hint("merge"), "id", "left_anti"))
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "index")
+    rows = [(f"v{i % 9}", str(i), f"text {i}", (i % 21 - 10) / 10, i % 5) for i in range(300)]
+    IX.build_index(spark, spark.createDataFrame(rows, ROWS + ", sentiment_polarity double, topic_id int"), path, buckets=2)
+    index = IX.read_index(spark, path)
+    some = IX.filtered(index, {"sentiment_polarity": {"$lt": -0.1}, "topic_id": 2})
+    assert "LessThan(sentiment_polarity,-0.1)" in plan_of(some) and "EqualTo(topic_id,2)" in plan_of(some)
+    assert {r.comment_id for r in some.collect()} == {c for _, c, _, p, t in rows if p < -0.1 and t == 2}
+    videos = IX.filtered(index, {"video_id": ["v1", "v4"], "sentiment_polarity": {"$gte": 0.5}})
+    assert "PartitionFilters: [isnotnull(video_bucket" in plan_of(videos) or "PartitionFilters: [video_bucket" in plan_of(videos)
+    assert "In(video_id, [v1,v4])" in plan_of(videos)
+    assert {r.comment_id for r in videos.collect()} == {c for v, c, _, p, _ in rows if v in ("v1", "v4") and p >= 0.5}
+
+
+def test_index_is_opened_by_its_path(spark, tmp_path):
+    from commentspark.sources import bucketed
+
+    path = str(tmp_path / "index")
+    rows = spark.createDataFrame([(f"v{i % 3}", str(i), f"text {i}") for i in range(40)], ROWS)
+    IX.build_index(spark, rows, path, buckets=3)
+    other = spark.newSession()
+    spark.sql(f"DROP TABLE {bucketed._name(path)}")
+    assert IX.read_index(other, path).count() == 40 and bucketed.layout_of(other, path).buckets == 3
+    with pytest.raises(ValueError):
+        bucketed.create(spark, str(tmp_path), IX.index_layout(2))
 
 
 def test_run_log_newest(spark, tmp_path):
@@ -94,11 +178,75 @@ def test_stream_dedup_drops_late_rows(spark, tmp_path):
     assert sorted(ids) == [i for i in range(25) if i != 22]
 
 
+def test_stream_keeps_up_postings(spark, tmp_path):
+    """After several landings in small batches, and a repeated batch, BM25 on the maintained postings equals a rebuild."""
+    from commentspark.operators import postings as PO
+
+    base = str(tmp_path)
+    run = lambda ckpt: run_stream_index(spark, base + "/landing/*", base + "/index", base + ckpt, LEXICON_A, ENTITY_PATTERNS, base + "/bm25", page_files=2)
+    IX.land_pages(_comments(spark, 40), base + "/landing/a", page_size=4)
+    run("/c1")
+    IX.land_pages(_comments(spark, 70), base + "/landing/b", page_size=4)
+    run("/c1")
+    run("/c2")  # a lost checkpoint: all comments again, as batches of another stream
+    kept, index = PO.opened(spark, base + "/bm25"), IX.read_index(spark, base + "/index")
+    assert kept.table("docs").count() == kept.table("docs").select("id").distinct().count() == 70
+    qs = spark.createDataFrame([("a", "comment 7", None), ("b", "thtion thtion 12", "all"), ("c", "nothing here", None), ("d", "65 comment", None)], "query_id string, query string, pred_key string")
+    rebuilt = PO.build(index, base + "/rebuilt", shards=3)
+    got, want = ([tuple(r) for r in PO.search(i, qs, 5).orderBy("query_id", "rank").collect()] for i in (kept, rebuilt))
+    assert got == want and len(got) == 20
+    batch = kept.table("docs").select("batch").first()[0]
+    PO.add_batch(kept, index.join(kept.table("docs").where(F.col("batch") == batch).select("id"), "id"), batch)
+    assert [tuple(r) for r in PO.search(kept, qs, 5).orderBy("query_id", "rank").collect()] == want
+
+
 def test_vocabulary_cut_and_topics(spark):
     docs = spark.createDataFrame([(i, " ".join(["river water boat", "engine wheel road"][i % 2].split() * 4)) for i in range(40)], "doc_id long, clean_text string")
     assert [r.term for r in bow_vocabulary(docs, max_features=2, max_df=1.0).orderBy("term_rank").collect()] == ["boat", "engine"]
     assert tfidf_keywords(docs, top_k=2, max_features=3).select("keyword").distinct().count() <= 3
-    assign, terms, vocab = fit_topics(docs, k=2, max_iter=5)
-    rows = assign.collect()
+    model = fit_topics(docs, k=2, max_iter=5)
+    rows = model.assign(docs).collect()
     assert len(rows) == 40 and all(abs(sum(r.topic_dist) - 1) < 1e-6 and 0 <= r.topic_id < 2 for r in rows)
-    assert len({r.topic_id for r in rows if r.id % 2 == 0}) == 1 and vocab.count() == 6
+    assert len({r.topic_id for r in rows if r.id % 2 == 0}) == 1 and model.counter.vocabulary == ["boat", "engine", "river", "road", "water", "wheel"]
+    assert model.terms(3).where("rank = 1").count() == 2
+
+
+def test_saved_topic_model_gives_topics_to_new_comments(spark, tmp_path):
+    from commentspark.operators.topics import TopicModel
+
+    docs = spark.createDataFrame([(i, " ".join(["river water boat", "engine wheel road"][i % 2].split() * 4)) for i in range(40)], "doc_id long, clean_text string")
+    model = fit_topics(docs, k=2, max_iter=5)
+    model.save(str(tmp_path / "model"))
+    again = TopicModel.load(spark, str(tmp_path / "model"))
+    new = spark.createDataFrame([(100, "a boat on the water"), (101, "wheel of an engine"), (102, "unknown"), (103, "")], "doc_id long, clean_text string")
+    found = {r.id: r for r in again.assign(new).collect()}
+    topic = {r.id: r.topic_id for r in model.assign(docs).collect()}
+    assert found[100].topic_id == topic[0] != topic[1] == found[101].topic_id and len(found) == 4
+    assert {(r.topic_id, r.rank, r.term) for r in again.terms().collect()} == {(r.topic_id, r.rank, r.term) for r in model.terms().collect()}
+    assert "Exchange" not in plan_of(again.assign(new))
+
+
+def test_text_is_not_shuffled_for_keywords(spark):
+    from commentspark.operators import keywords as K
+
+    docs = spark.createDataFrame([(i, f"alpha beta beta word{i % 4}") for i in range(30)], "doc_id long, clean_text string").repartition(5)
+    counted = K.term_counts(docs, "doc_id", "clean_text", bigrams=True)
+    assert sorted((c["term"], c["tf"]) for c in counted.where("id = 3").first().counts) == sorted(
+        {"alpha": 1, "beta": 2, "word3": 1, "alpha beta": 1, "beta beta": 1, "beta word3": 1}.items())
+    plan = plan_of(K.vocabulary(counted, 5, 2))
+    assert plan.count("Exchange hashpartitioning(term") == 1 and plan.count("Exchange hashpartitioning") == 1
+    best = {(r.id, r.keyword): r.weight for r in tfidf_keywords(docs, top_k=9).collect()}
+    assert abs(sum(w * w for (i, _), w in best.items() if i == 3) - 1) < 1e-9
+
+
+def test_sketches_merge(spark, tmp_path):
+    from commentspark.operators import sketches as SK
+
+    df = spark.range(40_000).selectExpr("id % 3 AS g", "id % 9000 AS item")
+    for part in range(4):
+        SK.keep(SK.sketched(df.where(f"item % 4 = {part}"), ["g"], F.col("item")), str(tmp_path / "s"))
+    kept = SK.kept(spark, str(tmp_path / "s"))
+    total = SK.merged(kept, []).first()
+    assert total.n == 40_000 and abs(total.n_distinct - 9000) <= SK.error_bound() * 9000
+    for r in SK.merged(kept, ["g"]).collect():
+        assert abs(r.n_distinct - 3000) <= SK.error_bound() * 3000

@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from commentspark.functions.predicates import compile_where, route_query, ui_filter
+from commentspark.functions.predicates import compile_where, dashboard_condition, route_query
 from commentspark.functions.scalars import safe_int, sanitize_json_list
 from commentspark.operators.evaluation import agreement_stats
 from commentspark.operators.index import conform
@@ -13,8 +13,14 @@ def test_where_compiler(spark):
     df = spark.createDataFrame([(1, -0.2, 3), (2, None, 3), (3, 0.5, 2)], "id int, p double, t int")
     w = compile_where({"p": {"$lt": -0.1}, "t": 3})
     assert [r.id for r in df.where(w).collect()] == [1]
-    u = ui_filter(["x"], (-1.0, 1.0), "(any)")
-    assert u == {"video_id": ["x"]}
+    with pytest.raises(ValueError):
+        compile_where({"p": {"$near": 1}})
+
+
+def test_dashboard_condition(spark):
+    df = spark.createDataFrame([("x", -0.2, 3), ("y", None, 3), ("z", 0.5, 2), (None, 0.0, None)], "video_id string, sentiment_polarity double, topic_id int")
+    kept = lambda *controls: df.where(dashboard_condition(*controls)).count()
+    assert [kept(), kept(["x", "z"]), kept([], (-0.5, 0.1)), kept((), (-1.0, 1.0), "Topic 3"), kept(["y"], (-0.5, 1.0))] == [4, 2, 2, 2, 0]
 
 
 def test_labels_at_threshold(spark):
