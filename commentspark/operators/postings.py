@@ -42,6 +42,9 @@ ALL_KEY = "all"
 #: Scores this much below the threshold still count as reaching it (rounding).
 SLACK = 1e-5
 
+#: Up to so many values a Parquet scan looks for each of a list's, and for their range beyond.
+IN_THRESHOLD = "spark.sql.parquet.pushdown.inFilterThreshold"
+
 SCHEMAS = {
     "docs": ("shard int, doc long, id string, dl int, keys array<string>, batch string", ("shard",), ("id",)),
     "postings": ("shard int, term string, doc long, tf int, dl int, keys array<string>, batch string", ("shard",), ("term", "doc")),
@@ -51,14 +54,25 @@ SCHEMAS = {
 }
 
 
+#: As many different terms of a search are named to the scans, whose sorted files are read around them only.
+NAMED_TERMS = 400
+
+
 @dataclass(frozen=True)
 class Postings:
-    """The tables of an index at ``path``."""
+    """The tables of an index at ``path``; with ``terms``, those rows of them that belong to these."""
     spark: SparkSession
     path: str
+    terms: tuple[str, ...] | None = None
 
     def table(self, name: str) -> DataFrame:
-        return bucketed.open_table(self.spark, f"{self.path}/{name}")
+        rows = bucketed.open_table(self.spark, f"{self.path}/{name}")
+        return rows if self.terms is None or "term" not in rows.columns else rows.where(F.col("term").isin(*self.terms))
+
+    def for_terms_of(self, queries: DataFrame) -> Postings:
+        """This index for a search: its scans are told the queries' terms where these are few."""
+        found = queries.select(F.explode(ws_tokens("query")).alias("term")).distinct().limit(NAMED_TERMS + 1).collect()
+        return self if len(found) > NAMED_TERMS else Postings(self.spark, self.path, tuple(sorted(r["term"] for r in found)))
 
     @property
     def shards(self) -> int:
@@ -74,7 +88,7 @@ def create(spark: SparkSession, path: str, shards: int | None = None) -> Posting
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, (schema, keys, order) in SCHEMAS.items():
         bucketed.create(spark, f"{path}/{name}", Layout(schema, keys, shards if name != "sizes" else 1, ("batch",), order))
-    _sum_up(Postings(spark, path))
+    spark.createDataFrame([], "pred_key string, n long, avgdl double, avg_idf double").write.mode("overwrite").parquet(f"{path}/totals")
     return Postings(spark, path)
 
 
@@ -190,7 +204,7 @@ def best_in_shards(index: Postings, terms: DataFrame, n: int, k1: float, b: floa
     hits, of those above 0, and the range of scores; ``gap`` tells that pruning left these incomplete and some document scores 0."""
     spark = index.spark
     others = F.sum("most").over(Window.partitionBy("q", "shard")) - F.col("most")
-    with bucketed.by_bucket(spark):
+    with bucketed.by_bucket(spark), bucketed.setting(spark, IN_THRESHOLD, str(NAMED_TERMS)):
         reach = materialize(thresholds(index, terms, n, k1, b), "bm25-thresholds") if prune else spark.createDataFrame([], "q long, reach double")
         at = _at_shards(index, terms.join(reach, "q", "left"), k1, b).withColumn("others", others)
         can_reach = lambda c: F.col("reach").isNull() | (F.col(c) + F.col("others") >= F.col("reach") - SLACK)
@@ -215,7 +229,7 @@ def _first_others(index: Postings, queries: DataFrame, best: DataFrame, terms: D
     shards = F.array(*map(F.lit, bucketed.spread(index.spark, index.shards)))
     wanted = queries.select("q", "pred_key", F.explode(shards).alias("shard")).join(in_shard, ["q", "shard"], "left")
     wanted = wanted.withColumn("place", F.explode(F.sequence(F.lit(1), F.coalesce("here", F.lit(0)).cast("int") + n)))
-    with bucketed.by_bucket(index.spark):
+    with bucketed.by_bucket(index.spark), bucketed.setting(index.spark, IN_THRESHOLD, str(NAMED_TERMS)):
         met = _scored(index, _at_shards(index, terms.join(queries.select("q"), "q", "left_semi"), k1, b), k1, b).select("shard", "q", "doc").distinct()
         rest = placed.join(wanted, ["shard", "pred_key", "place"]).join(met, ["shard", "q", "doc"], "left_anti")
         rest = top_n(rest, ["shard", "q"], [F.asc("id")], n, "at")
@@ -227,7 +241,9 @@ def search(index: Postings, queries: DataFrame, n: int = 10, k1: float = BM25_K1
     """(query_id, rank, id, score, distance) of the best ``n`` documents of each query (query_id, query, pred_key)."""
     qk = queries.select("query_id", "query", F.coalesce("pred_key", F.lit(ALL_KEY)).alias("pred_key"))
     qk = materialize(qk.withColumn("q", F.monotonically_increasing_id()), "bm25-questions")
-    terms = materialize(weights(index, qk, epsilon), "bm25-terms")
+    index = index.for_terms_of(qk)
+    with bucketed.setting(index.spark, IN_THRESHOLD, str(NAMED_TERMS)):
+        terms = materialize(weights(index, qk, epsilon), "bm25-terms")
     best = best_in_shards(index, terms, n, k1, b, prune)
 
     by_shard = best.groupBy("q", "shard").agg(*(F.first(c).alias(c) for c in ("hits", "above", "low", "high", "gap")))

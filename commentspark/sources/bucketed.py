@@ -93,12 +93,13 @@ def append(df: DataFrame, path: str, overwrite_partitions: bool = False) -> None
     """Add ``df``'s rows; ``overwrite_partitions`` replaces the partition folders they fall in, so a repeated write adds nothing."""
     spark = df.sparkSession
     name = _registered(spark, path)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         df.select(*spark.table(name).columns).write.insertInto(name, overwrite=overwrite_partitions)
 
 
 @contextlib.contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session's setting changed for the actions within."""
     before = spark.conf.get(name)
     spark.conf.set(name, value)
     try:
@@ -109,11 +110,20 @@ def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 def by_bucket(spark: SparkSession):
     """A context in which joins on a bucketed table's keys and others keep its buckets; run the query's action inside."""
-    return _setting(spark, CO_PARTITION, "false")
+    return setting(spark, CO_PARTITION, "false")
+
+
+_SPREAD: dict[int, list[int]] = {}
 
 
 def spread(spark: SparkSession, buckets: int) -> list[int]:
     """For each bucket a number that falls in it: values of an int key that fill all buckets evenly."""
+    if buckets not in _SPREAD:
+        _SPREAD[buckets] = _numbers(spark, buckets)
+    return _SPREAD[buckets]
+
+
+def _numbers(spark: SparkSession, buckets: int) -> list[int]:
     numbers = spark.range(buckets * 4 + 64)
     while True:
         at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(buckets))
