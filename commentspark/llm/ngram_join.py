@@ -6,12 +6,13 @@ with a count; the join runs over the classes.
 
 1. Every class gets ``HASHES`` MinHash values and ``HASHES / ROWS`` band keys.  A pair at
    the threshold shares no band with probability (1 - t**ROWS)**BANDS, 5e-8 at 0.8.
-2. Classes that share a band key fall in one candidate group: each hangs on the smallest
-   of its bucket (rows, not pairs), and distributed components join the buckets.
-3. The classes of a group are compared in pairs of blocks, each pair of blocks a task of
-   its own: MinHash values are compared ``STEP`` at a time, and a pair is dropped as soon as
+2. The classes of a bucket, those that share a band key, are compared by their signatures in pairs of blocks, each pair of
+   blocks a task of its own: MinHash values are compared ``STEP`` at a time, and a pair is dropped as soon as
    the posterior probability (uniform prior) that its similarity reaches the threshold
-   falls below ``TOLERANCE``.  What is left is verified exactly on the n-gram sets.
+   falls below ``TOLERANCE``.  Classes that are joined already are not compared again, so a bucket of near copies costs a
+   few passes.  Distributed components of what survives are the candidate groups.
+3. Only the classes of a group send their n-gram sets.  Pairs of a group, again in pairs of blocks, pass the
+   same pruning and are verified exactly.
 4. A task gives each class's number of linked documents and a local spanning forest, never
    the pairs; components of the forests are the classes of near copies.
 
@@ -167,14 +168,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = signed.filter("grams > 0").groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.min("grams").alias("grams"))
     classes = common.stored(classes, "ngram-classes")
 
-    bands = hashes // rows
-    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.xxhash64(
-        k, F.expr("sig").substr(k * (4 * rows) + 1, F.lit(4 * rows))))).alias("band")
-    banded = signed.filter("grams > 0").select("key", band)
-    buckets = banded.groupBy("band").agg(F.min("key").alias("root"), F.max("key").alias("top")).filter("root != top").select("band", "root")
-    stars = banded.join(buckets, "band").filter("key != root").select("key", "root").distinct()
-    groups = connected_components(stars, "key", "root").select(F.col("node").alias("key"), F.col("component").alias("grp"))
-    groups = common.stored(groups.join(classes, "key"), "ngram-groups")
+    groups = common.stored(_groups(signed, threshold, hashes, rows).join(classes, "key"), "ngram-groups")
 
     links = common.stored(_verified(texts, groups, n, threshold, hashes, seed), "ngram-links")
     degree = links.groupBy("key").agg(F.sum("links").alias("linked"))
@@ -188,6 +182,61 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
+def _groups(signed: DataFrame, threshold: float, hashes: int, rows: int) -> DataFrame:
+    """(key, grp): the classes that may have a near one, and the smallest key that such pairs reach."""
+    sigs = common.stored(signed.filter("grams > 0").groupBy("key").agg(F.first("sig").alias("sig")), "ngram-classes-signed")
+    band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(hashes // rows - 1)), lambda k: F.xxhash64(
+        k, F.expr("sig").substr(k * (4 * rows) + 1, F.lit(4 * rows))))).alias("band")
+    banded = sigs.select("key", band)
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = banded.join(buckets, "band").withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int"))
+    task = ["band", "i", "j"]
+    pairs = common.block_pairs(members, "blocks", "block").select("key", *task).join(sigs, "key")
+    pairs = pairs.repartition(*task).sortWithinPartitions(*task, "key")
+    least = least_matches(threshold, hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in common.runs(batches, task):
+            keys = table.column("key").to_numpy()
+            roots = keys[joined(np.stack([np.frombuffer(s.as_py(), np.uint32) for s in table.column("sig")]), least)]
+            there = np.isin(roots, roots[roots != keys])
+            if there.any():
+                yield pa.RecordBatch.from_arrays([pa.array(keys[there]), pa.array(roots[there])], ["key", "root"])
+
+    stars = common.stored(pairs.select("key", "sig", *task).mapInArrow(run, "key long, root long").filter("key != root").distinct(), "ngram-stars")
+    return connected_components(stars, "key", "root").select(F.col("node").alias("key"), F.col("component").alias("grp"))
+
+
+def pruned(sig: np.ndarray, a: np.ndarray, b: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows (a, b) of the signatures that the incremental comparison keeps."""
+    matches = np.zeros(len(a), np.int16)
+    for k, need in enumerate(least):
+        stay = np.empty(len(a), bool)
+        columns = slice(k * STEP, (k + 1) * STEP)
+        for low in range(0, len(a), 65_536):
+            part = slice(low, low + 65_536)
+            matches[part] += (sig[a[part], columns] == sig[b[part], columns]).sum(axis=1, dtype=np.int16)
+            stay[part] = matches[part] >= need
+        a, b, matches = a[stay], b[stay], matches[stay]
+        if not len(a):
+            break
+    return a, b
+
+
+def joined(sig: np.ndarray, least: list[int]) -> np.ndarray:
+    """For each signature the first one that kept pairs reach; a pair that others join already is not compared."""
+    part = np.arange(len(sig))
+    for row in range(len(sig) - 1):
+        others = np.flatnonzero(part[row + 1:] != part[row]) + row + 1
+        _, near = pruned(sig, np.full(len(others), row), others, least)
+        if len(near):
+            merged = np.isin(part, part[np.append(near, row)])
+            part[merged] = part[merged].min()
+            if not part.any():
+                break
+    return part
+
+
 def _verified(texts: DataFrame, groups: DataFrame, n: int, threshold: float, hashes: int, seed: int) -> DataFrame:
     """(key, links, root) of the classes that tasks found linked."""
     sizes = groups.groupBy("grp").agg(F.count("*").alias("n"), F.sum("grams").alias("total"))
@@ -227,17 +276,9 @@ def _compare(table: pa.Table, threshold: float, least: list[int]) -> pa.RecordBa
         a, b = np.triu_indices(size, 1)
     else:
         a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(block == i), np.flatnonzero(block == j), indexing="ij"))
-    matches = np.zeros(len(a), np.int16)
-    for k, need in enumerate(least):
-        stay = np.empty(len(a), bool)
-        for low in range(0, len(a), 65_536):
-            part = slice(low, low + 65_536)
-            columns = slice(k * STEP, (k + 1) * STEP)
-            matches[part] += (sig[a[part], columns] == sig[b[part], columns]).sum(axis=1, dtype=np.int16)
-            stay[part] = matches[part] >= need
-        a, b, matches = a[stay], b[stay], matches[stay]
-        if not len(a):
-            return None
+    a, b = pruned(sig, a, b, least)
+    if not len(a):
+        return None
     # The exact test: n-grams as small numbers, a flag for those of one side.
     numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
     lengths = np.array([len(s) for s in sets])

@@ -56,6 +56,28 @@ def test_against_brute_force(spark, monkeypatch, block):
     assert got == brute(rows)
 
 
+def test_documents_of_one_template_are_no_candidates(spark, monkeypatch):
+    """Pages that share half of their words meet in buckets, but none sends its n-grams or joins a group."""
+    rng, template = random.Random(8), " ".join(f"t{i}" for i in range(120))
+    rows = [(k, template + " " + " ".join(f"own{k}x{rng.randrange(10**6)}" for _ in range(120))) for k in range(400)]
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(3)]
+    groups = []
+    verified = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda texts, found, *more: groups.append(found.count()) or verified(texts, found, *more))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert groups == [6]
+    assert got == {k: (k % 1000, int(k % 1000 < 3)) for k, _ in rows}
+
+
+def test_joining_by_signatures():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 30, (12, ngram_join.HASHES), dtype=np.uint32)
+    rows = [(k, np.where(rng.random(ngram_join.HASHES) < 0.05, rng.integers(0, 1 << 30, ngram_join.HASHES, dtype=np.uint32), base[k])) for k in rng.integers(0, 12, 90)]
+    part = ngram_join.joined(np.stack([r for _, r in rows]), ngram_join.least_matches())
+    first = {}
+    assert [first.setdefault(k, i) for i, (k, _) in enumerate(rows)] == part.tolist()
+
+
 def test_long_document_hashes_do_not_depend_on_its_length():
     words = " ".join(f"t{i}" for i in range(40_000)).encode()
     whole = ngram_join.grams(words, ngram_join._powers(16))
