@@ -112,6 +112,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark's default file system gives it."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
