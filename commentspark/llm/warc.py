@@ -18,7 +18,8 @@ folders; Spark reads the input.
 Defined cases: a null payload is empty; every input row gives one record, repeated rows
 included (of several rows with the largest id, all are responses); a null id never is the
 response that others revisit unless all ids of the group are null; control characters in a
-URL are percent-encoded, a null URL has no header line.
+URL are percent-encoded, a null URL has no header line; an empty table gives no archive, an empty
+index and no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -98,10 +99,12 @@ def revisits(pages: DataFrame, id_col: str, digest: Column, size: Column, min_by
 
 def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_REVISIT,
           folder: str | None = None) -> DataFrame:
-    """Writes the archives; the index, a stored table with the columns of ``INDEX``."""
+    """Writes the archives; the index, a stored table with the columns of ``INDEX``.  Without a ``folder`` both go with the query's
+    other tables (``session.drop_written``)."""
     spark = pages.sparkSession
     common.workers_see_package(spark)
-    folder = (folder or session.shared_path(spark, f"warc-{uuid.uuid4().hex[:12]}")).rstrip("/")
+    # A name without scheme means the cluster's default file system, not each executor's disk.
+    folder = session.qualified(spark, folder or session.fresh_path(spark, "warc")).rstrip("/")
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit("").cast("binary"))
     digest, size = F.sha1(payload), F.octet_length(payload)
     again = common.stored(revisits(pages, id_col, digest, size, min_bytes), "revisits").withColumnsRenamed({"id": "r_id", "digest": "r_digest"})
@@ -156,7 +159,9 @@ def read(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """
     common.workers_see_package(index.sparkSession)
     at = index.select("file", (F.col("offset") / SEGMENT).cast("long").alias("segment"), "offset", "length")
-    at = at.repartition("file", "segment").sortWithinPartitions("file", "offset").select("file", "offset", "length")
+    # As many tasks as segments: a task reads what the index names, so the index's own size says nothing of its work.
+    segments = at.groupBy("file", "segment").agg(F.lit(1)).count()
+    at = at.repartition(max(1, segments), "file", "segment").sortWithinPartitions("file", "offset").select("file", "offset", "length")
     names = ["id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", *(["payload"] if with_payload else [])]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), *([pa.binary()] if with_payload else [])]
 

@@ -1,4 +1,5 @@
 import hashlib
+import os
 from collections import defaultdict
 
 import duckdb
@@ -35,6 +36,24 @@ def test_round_trip(spark):
     assert sorted(r.id for r in some) == [1, 9, 15] and {r.url for r in got if r.id == 7} == {"http://c%0D%0AWARC-Type: evil"}
 
 
+def test_archives_are_read_by_many_tasks_and_dropped(spark):
+    from urllib.parse import urlparse
+
+    from commentspark import session
+
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"page {k} " * 50) for k in range(400)], "page_id long, url string, html string").repartition(8)
+    index = warc.write(pages)
+    folders = {r.file.rsplit("/", 1)[0] for r in index.select("file").distinct().collect()}
+    assert index.select("file").distinct().count() == 8 and len(folders) == 1
+    found = warc.read(index, with_payload=False)
+    from pyspark.sql import functions as F
+    assert found.count() == 400 and found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    folder = urlparse(folders.pop())
+    assert folder.scheme == "file" and os.listdir(folder.path)
+    session.drop_written(spark)
+    assert not os.path.exists(folder.path)
+
+
 def test_reads_are_coalesced():
     ranges = [(0, 10), (10, 10), (100, 5), (10_000_000, 4)]
     assert warc.coalesced(ranges, gap=50, span=1000) == [[0, 1], [2], [3]]
