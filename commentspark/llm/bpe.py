@@ -16,7 +16,7 @@ is pre-tokenised whole: exact for every input.
 
 Defined cases: a null text encodes as the empty text (no ids, no bytes); every
 input row gives one output row, repeated rows included; other columns of the
-input are ignored, whatever their names.
+input are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ from the number of vectors, so that a bucket of unrelated vectors holds about
 Defined cases: a vector that is null, empty, zero, or holds a null or non-finite component
 links with nothing, and vectors of different dimensions do not link; each is its own
 component.  Repeated rows are vectors of their own.  Rows with a null id are compared like
-others; they count as links but give no component its name, and theirs is null.
+others; they count as links but give no component its name, and theirs is null.  An empty table gives no
+rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ independent evidence.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every
 text when no labelled document could be learned from.  Ties go to the first language in
-order.  Every input row gives one output row; other input columns are ignored.
+order.  Every input row gives one output row, an empty table none; other input columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

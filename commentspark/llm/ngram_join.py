@@ -21,7 +21,8 @@ share one by chance and would be taken for copies.
 
 Defined cases: a document that is null, empty or without a letter or digit links with
 nothing.  Every input row is a document, repeated rows included, and copies link with each
-other.  A null id counts as a link but names no class unless all ids of it are null.
+other.  A null id counts as a link but names no class unless all ids of it are null.  An empty table gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

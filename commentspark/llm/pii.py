@@ -25,7 +25,8 @@ text that is one long run costs linear time.
 Defined cases: a null text is empty and has no span; every input row gives one output row;
 matches of one kind never overlap, matches of different kinds may, but an added span never
 overlaps a base one: a secret of any length that still is one up to the first base span in it
-is cut into the pieces beside base spans, other added spans that meet one go.
+is cut into the pieces beside base spans, other added spans that meet one go; an empty table gives no
+rows and accepts no added kind; other columns stay, and the added one's name is the caller's.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ fingerprint.
 
 Defined cases: a null text is empty; equal texts have equal fingerprints; every input row
 gives one output row.  Rows of one id come in the order of their texts where the next
-document is asked for, and null ids come first.
+document is asked for, and null ids come first.  An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ run over the distinct such views with counts.
 
 Defined cases: a null URL or one without ``://`` has empty host and path, fits no rule and is
 judged like any other; where rules decide no URL of one class, the models are
-silent: score 0, allow.  Every input row gives one output row; other columns stay out.
+silent: score 0, allow.  Every input row gives one output row, an empty table none; other columns, whatever their names, stay out.
 """
 
 from __future__ import annotations
