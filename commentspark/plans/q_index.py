@@ -9,13 +9,16 @@ from ..functions import text as T
 from ..functions.ranking import norm2
 from ..functions.scalars import sql_sanitize_json_list
 from ..operators import index as IX
+from ..operators import postings as PO
 from ..operators.entities import sql_entity_rows
+from ..operators.retrieval import bm25_search
 from ..session import fresh_path
 from ..sources.tables import read_table
 from ..streaming.index_stream import run_stream_index, stream_dedup
 from . import corpus as C
 from .catalog import register, typed
 from .fixtures import ENTITY_PATTERNS, LEXICON_A
+from .sql_retrieval import bm25_ctes
 
 S_X9 = [("id", "string"), ("video_id", "string"), ("comment_id", "string"), ("sentiment_polarity", "double"),
         ("sentiment_subjectivity", "double"), ("entities", "string"), ("n_entities", "bigint"),
@@ -150,11 +153,30 @@ def x8_hashing_embeddings(spark, sf):
                           F.col("embedding")[0].alias("first"), F.array_max("embedding").alias("largest")), S_X8)
 
 
-@register("z1_stream_incremental_index")
+S_X8U = [("doc_id", "bigint"), ("chars", "double"), ("es", "double"), ("blanks", "double")]
+
+
+def letters_model():
+    """A deterministic stand-in for a user's model: three counts of each text."""
+    def encode(texts):
+        return [[float(len(t)), float(t.count("e")), float(t.count(" "))] for t in texts]
+    return encode
+
+
+@register("x8_user_encoder", lambda: _sql([],
+    "SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(length(clean_text) AS DOUBLE) AS chars, CAST(length(clean_text) - length(replace(clean_text, 'e', '')) AS DOUBLE) AS es, "
+    "CAST(length(clean_text) - length(replace(clean_text, ' ', '')) AS DOUBLE) AS blanks FROM cleaned"))
+def x8_user_encoder(spark, sf):
+    """A user's model over every comment: made once per worker, called with 64 texts at a time."""
+    e = IX.pandas_encoder(C.cleaned(spark, sf).select("doc_id", F.col("clean_text").alias("document")), letters_model)
+    return typed(e.select("doc_id", *(F.col("embedding")[i].alias(c) for i, (c, _) in enumerate(S_X8U[1:]))), S_X8U)
+
+
+@register("z1_stream_incremental_index", lambda: _sql([],
+    "SELECT CAST('comment_' || video_id || '_' || comment_id AS VARCHAR) AS id, CAST(video_id AS VARCHAR) AS video_id, comment_id FROM cleaned"))
 def z1_stream_incremental_index(spark, sf):
     """Structured Streaming: landed pages -> availableNow trigger ->
-    foreachBatch incremental index append (twice: the replay adds nothing).
-    Rows-only."""
+    foreachBatch incremental index append (twice: the replay adds nothing)."""
     base = fresh_path(spark, "stream")
     IX.land_pages(_comments(spark, sf), base + "/landing")
     for _ in range(2):
@@ -162,6 +184,21 @@ def z1_stream_incremental_index(spark, sf):
     return typed(IX.read_index(spark, base + "/index"), [("id", "string"), ("video_id", "string"), ("comment_id", "string")])
 
 
+@register("z1_stream_bm25", lambda: _sql(bm25_ctes("b", "idx", "evalq", 10),
+    "SELECT query_id, CAST(rank AS BIGINT) AS rank, CAST(id AS VARCHAR) AS id, round(score, 6) AS score, round(distance, 6) AS distance FROM b_top"))
+def z1_stream_bm25(spark, sf):
+    """BM25 top-10 on postings that the stream kept up over two landings, the second holding all comments again."""
+    base = fresh_path(spark, "stream")
+    rows = _comments(spark, sf)
+    run = lambda: run_stream_index(spark, base + "/landing/*", base + "/index", base + "/checkpoint", LEXICON_A, ENTITY_PATTERNS, base + "/bm25")
+    IX.land_pages(rows.where("doc_id % 2 = 0"), base + "/landing/a")
+    run()
+    IX.land_pages(rows, base + "/landing/b")
+    run()
+    found = bm25_search(None, C.eval_queries(spark, sf), 10, index=PO.opened(spark, base + "/bm25"))
+    return typed(found, [("query_id", "string"), ("rank", "bigint"), ("id", "string"), ("score", "double"), ("distance", "double")])
+
+
 @register("z2_stream_dedup", "SELECT CAST(doc_id AS VARCHAR) AS comment_id, CAST(source AS VARCHAR) AS video_id FROM documents "
           "WHERE trim(coalesce(text, '')) <> ''")
 def z2_stream_dedup(spark, sf):

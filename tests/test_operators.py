@@ -57,3 +57,15 @@ def test_conform(spark):
     assert {"topic_id", "entities", "sentiment_polarity"} <= set(out.columns)
     with pytest.raises(ValueError):
         conform(df.drop("clean_text"))
+
+
+def test_blank_and_incomplete_rows_go(spark):
+    from commentspark.functions import text as T
+    from commentspark.operators.index import prepare_index_rows
+
+    df = spark.createDataFrame([(0, None), (1, ""), (2, "  　\t"), (3, "http://only.a/link"), (4, "@#%"), (5, " kept ")], "id long, text string")
+    clean = df.withColumn("text", T.clean_text(T.fill_text("text")))
+    assert [(r.id, r.text) for r in clean.where(T.is_nonblank("text")).collect()] == [(5, "kept")]
+    rows = [("v", "1", "text"), (None, "2", "text"), (" ", "3", "text"), ("v", "", "text"), ("v", None, "text"), ("v", "6", "  "), ("v", "7", None)]
+    out = prepare_index_rows(spark.createDataFrame(rows, "video_id string, comment_id string, clean_text string"))
+    assert [r.id for r in out.collect()] == ["comment_v_1"]
