@@ -62,7 +62,7 @@ def build(corpus: DataFrame, path: str, cells: int = CELLS, sample: int = SAMPLE
     rows = model.transform(found).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int"))
     rows = rows.select("cell", "part", *(c for c in corpus.columns if c not in ("cell", "part")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    layout = bucketed.Layout(schema, ("cell", "part"), int(spark.conf.get("spark.sql.shuffle.partitions")), order=("cell", "part"))
+    layout = bucketed.Layout(schema, ("cell", "part"), bucketed.default_buckets(spark), order=("cell", "part"))
     bucketed.create(spark, path + "/rows", layout)
     bucketed.append(bucketed.dealt(rows, layout), path + "/rows")
     centres = [(k, [float(x) for x in c]) for k, c in enumerate(model.clusterCenters())]

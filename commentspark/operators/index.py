@@ -171,12 +171,12 @@ def build_index(spark: SparkSession, rows: DataFrame, index_path: str, reset: bo
 
     Of several rows with one id the first in the order of a hash of all their columns is
     indexed; the others count as skipped.  ``reset`` starts from an empty
-    index (S6).  ``buckets`` counts for a new index (the session's shuffle partitions by default).
+    index (S6).  ``buckets`` counts for a new index (:func:`bucketed.default_buckets` otherwise).
 
     One job reads the input once: rows are shuffled to the index's buckets, meet the ids there, and
     are counted in the tasks that write them (``observe``), whose counts Spark takes once however often a task runs."""
     if reset or not bucketed.exists(spark, index_path):
-        bucketed.create(spark, index_path, index_layout(buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        bucketed.create(spark, index_path, index_layout(buckets or bucketed.default_buckets(spark)))
     prepared = prepare_index_rows(rows)
     if "embedding" not in prepared.columns:
         prepared = prepared.withColumn("embedding", F.lit(None))

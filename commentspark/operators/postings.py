@@ -84,8 +84,8 @@ class Postings:
 
 
 def create(spark: SparkSession, path: str, shards: int | None = None) -> Postings:
-    """An empty index; ``shards`` is the session's number of shuffle partitions by default."""
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """An empty index of so many shards (:func:`bucketed.default_buckets` otherwise)."""
+    shards = shards or bucketed.default_buckets(spark)
     for name, (schema, keys, order) in SCHEMAS.items():
         bucketed.create(spark, f"{path}/{name}", Layout(schema, keys, shards if name != "sizes" else 1, ("batch",), order))
     spark.createDataFrame([], "pred_key string, n long, avgdl double, avg_idf double").write.mode("overwrite").parquet(f"{path}/totals")

@@ -38,6 +38,12 @@ def _name(path: str) -> str:
     return "commentspark_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
 
 
+def default_buckets(spark: SparkSession) -> int:
+    """Buckets of a table that names none: as many as the session's shuffle partitions, but no more than four for each core of
+    the cluster, as each bucket is a file of its own.  Larger tables are given their number."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/{NOTE}")
 
