@@ -44,6 +44,8 @@ HASHES, ROWS = 128, 4
 STEP, TOLERANCE = 16, 1e-8
 #: A block has about so many documents, or n-grams, at most.
 BLOCK, BLOCK_GRAMS = 1_000, 1_000_000
+#: Signatures of a block, half a kilobyte each: a bucket is cut only beyond, as each block travels once for every other.
+BLOCK_SIGNATURES = 16_384
 SEED = 97
 
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -189,7 +191,7 @@ def _groups(signed: DataFrame, threshold: float, hashes: int, rows: int) -> Data
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(hashes // rows - 1)), lambda k: F.xxhash64(
         k, F.expr("sig").substr(k * (4 * rows) + 1, F.lit(4 * rows))))).alias("band")
     banded = sigs.select("key", band)
-    buckets = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band", F.ceil(F.col("n") / BLOCK_SIGNATURES).cast("int").alias("blocks"))
     members = banded.join(buckets, "band").withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), F.col("blocks")).cast("int"))
     task = ["band", "i", "j"]
     pairs = common.block_pairs(members, "blocks", "block").select("key", *task).join(sigs, "key")

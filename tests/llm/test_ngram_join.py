@@ -50,6 +50,7 @@ def corpus(seed, n=160):
 @pytest.mark.parametrize("block", [1_000, 8])
 def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SIGNATURES", block)
     rows = corpus(4) + [(5000, None), (5001, ""), (5002, " .. !"), (5003, "one two"), (5004, "One, two"), (5005, "x" * 100_000), (7, corpus(4)[0][1]), (7, corpus(4)[0][1])]
     df = spark.createDataFrame([(a, b, a) for a, b in rows], "doc_id long, text string, key long")
     got = sorted((r.doc_id, r.class_id, r.n_links) for r in ngram_join.near_copies(df).collect())
