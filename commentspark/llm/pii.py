@@ -20,7 +20,9 @@ and once for the spans, and are never shuffled.
 
 Positions count code points, the end is exclusive.  Patterns are written without
 backtracking (possessive, anchored at the start of a run or at the last match's end), so a
-text that is one long run costs linear time.
+text that is one long run costs linear time.  So does a text of many matches: starts are
+running sums taken in blocks, what surrounds a span is cut from pieces of the text, and
+the base spans that an added one meets are found by bisection.
 
 Defined cases: a null text is empty and has no span; every input row gives one output row;
 matches of one kind never overlap, matches of different kinds may, but an added span never
@@ -45,6 +47,8 @@ LABELERS = ("shape", "structure", "gazetteer", "context", "boundary")
 ROUNDS = 12
 #: Characters before a candidate in which the context labeler looks for cues.
 CONTEXT = 40
+#: Code points of a piece of a text, and values of a block of running values.
+PIECE = 256
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _RUN = r"(?:(?<!{0})|\G)"
@@ -108,19 +112,51 @@ def valid(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, low: Column, high: Column) -> Column:
+    """The text from ``low`` to ``high``, of its pieces: a place far inside costs no more than one at the start."""
+    place = lambda at: F.shiftright(at, PIECE.bit_length() - 1)
+    joined = F.array_join(F.transform(F.sequence(place(low), place(high - 1)), lambda k: F.get(pieces, k)), "")
+    return F.when(low < high, joined.substr(F.pmod(low, F.lit(PIECE)) + 1, high - low)).otherwise(F.lit(""))
+
+
+def _running(values: Column, grow) -> Column:
+    """For each value (int, at least one), ``grow`` over all values before it, from 0; ``grow`` is associative."""
+    def grown(array: Column) -> Column:
+        zero = F.array(F.lit(0))
+        return F.aggregate(array, zero, lambda a, x: F.concat(a, F.array(grow(F.element_at(a, -1), x))))
+
+    def laid(values: Column) -> Column:
+        block = lambda b: F.transform(F.sequence(b * PIECE, F.least((b + 1) * PIECE, F.size(values)) - 1), lambda i: F.get(values, i))
+        blocks = F.transform(F.sequence(F.lit(0), F.shiftright(F.size(values) - 1, PIECE.bit_length() - 1)), lambda b: grown(block(b)))
+        return _let(blocks, lambda parts: _let(grown(F.transform(parts, lambda p: F.element_at(p, -1))), lambda bases: F.flatten(
+            F.transform(parts, lambda p, b: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: grow(F.get(bases, b), x))))))
+    return _let(values, laid)
+
+
 def matches(text: Column, kind: str) -> Column:
     """Array of (start, found), in order, for the kind's pattern."""
     gate = text.contains(GATES[kind]) if kind in ("email", "phone") else text.rlike(GATES[kind])
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    gaps = F.transform(F.split(text, PATTERNS[kind], -1), F.length)
-    steps = F.arrays_zip(gaps.alias("gap"), found.alias("found"))
     kind_of = "array<struct<start:int,found:string>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind_of).alias("out"))
-    summed = F.aggregate(
-        F.filter(steps, lambda s: s["found"].isNotNull()), start,
-        lambda a, s: F.struct((a["at"] + s["gap"] + F.length(s["found"])).alias("at"),
-                              F.concat(a["out"], F.array(F.struct((a["at"] + s["gap"]).alias("start"), s["found"].alias("found")))).alias("out")),
-        lambda a: a["out"])
+
+    def placed(found: Column) -> Column:
+        gaps = F.transform(F.split(text, PATTERNS[kind], -1), F.length)
+        steps = F.filter(F.arrays_zip(found.alias("found"), gaps.alias("gap")), lambda s: s["found"].isNotNull())
+
+        def started(steps: Column) -> Column:
+            before = _running(F.transform(steps, lambda s: s["gap"] + F.length(s["found"])), lambda a, x: a + x)
+            return F.zip_with(before, steps, lambda at, s: F.struct((at + s["gap"]).alias("start"), s["found"].alias("found")))
+        return F.when(F.size(found) > 0, _let(steps, started)).otherwise(F.array().cast(kind_of))
+
+    summed = _let(F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)), placed)
     return F.when(gate, F.filter(summed, lambda m: valid(kind, m["found"]))).otherwise(F.array().cast(kind_of))
 
 
@@ -179,35 +215,67 @@ def _code(kind: str, found: Column, before: Column, after: Column) -> Column:
 FEATURES = ("abcd", "nml", "eswp", "eswp", "yn")
 
 
-def _meet(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def _first(spans: Column, holds) -> Column:
+    """Index of the first span for which ``holds``, or their number, by bisection: it holds for all after the first."""
+    begin = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+    def step(a: Column, _: Column) -> Column:
+        middle = F.shiftright(a["low"] + a["high"], 1)
+        yes = holds(F.get(spans, middle))
+        halved = F.struct(F.when(yes, a["low"]).otherwise(middle + 1).alias("low"), F.when(yes, middle).otherwise(a["high"]).alias("high"))
+        return F.when(a["low"] < a["high"], halved).otherwise(a)
+
+    rounds = F.sequence(F.lit(0), F.floor(F.log2(F.size(spans) + 1)).cast("int"))
+    return F.aggregate(rounds, begin, step, lambda a: a["low"])
+
+
+def _meets(spans: Column, c: Column) -> Column:
+    """Whether a span among ``spans`` (ordered, none overlaps another) overlaps ``c``."""
+    there = F.get(spans, _first(spans, lambda b: b["end"] > c["start"]))
+    return (F.size(spans) > 0) & F.coalesce(there["start"] < c["end"], F.lit(False))
+
+
+def _met(spans: Column, c: Column) -> Column:
+    """Those spans, as (start, end)."""
+    low, high = _first(spans, lambda b: b["end"] > c["start"]), _first(spans, lambda b: b["start"] >= c["end"])
+    told = F.transform(F.sequence(low, high - 1), lambda i: F.struct(F.get(spans, i)["start"].alias("start"), F.get(spans, i)["end"].alias("end")))
+    return F.when(_meets(spans, c), told).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
 
 
 def candidates(docs: DataFrame, text_col: str = "text", into: str = "candidates") -> DataFrame:
     """Adds an array of (kind, start, end, code), in the order of the kinds, then of the starts."""
-    text = common.text_or_empty(text_col)
+    text, pieces, base = common.text_or_empty(text_col), common.fresh(docs, "pieces"), {k: common.fresh(docs, f"base_{k}") for k in BASE}
 
     def told(kind: str) -> Column:
-        def one(m: Column) -> Column:
+        def around(m: Column) -> Column:
             start, end = m["start"], m["start"] + F.length(m["found"])
-            low = F.greatest(start - CONTEXT, F.lit(0))
-            return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"),
-                            _code(kind, m["found"], text.substr(low + 1, start - low), text.substr(end + 1, F.lit(2))).alias("code"))
-        return F.transform(matches(text, kind), one)
+            return F.struct(start.alias("start"), end.alias("end"), m["found"].alias("found"),
+                            _between(F.col(pieces), F.greatest(start - CONTEXT, F.lit(0)), start).alias("before"),
+                            _between(F.col(pieces), end, end + 2).alias("after"))
+
+        def one(m: Column) -> Column:
+            return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), _code(kind, m["found"], m["before"], m["after"]).alias("code"))
+        return F.transform(F.transform(matches(text, kind), around), one)
 
     def beside(c: Column) -> Column:
-        hits = F.array_sort(F.transform(F.filter(into, lambda b: _meet(b, c)), lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
         piece = lambda low, high: F.struct(c["kind"].alias("kind"), low.alias("start"), high.alias("end"), c["code"].alias("code"))
         begin = F.struct(c["start"].alias("at"), F.filter(F.array(c), lambda _: F.lit(False)).alias("out"))
         grown = lambda a, high: F.when(a["at"] < high, F.concat(a["out"], F.array(piece(a["at"], high)))).otherwise(a["out"])
-        pieces = F.aggregate(hits, begin, lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), grown(a, b["start"]).alias("out")), lambda a: grown(a, c["end"]))
-        head = text.substr(c["start"] + 1, F.get(hits, F.lit(0))["start"] - c["start"])
-        return F.when(F.size(hits) == 0, F.array(c)).when(head.rlike("^(?:" + PATTERNS["secret"] + ")"), pieces).otherwise(F.slice(pieces, 1, 0))
 
-    df = docs.withColumn(into, F.concat(*(told(k) for k in BASE)))
-    added = F.filter(F.concat(*(told(k) for k in ADDED[1:])), lambda c: ~F.exists(into, lambda b: _meet(b, c)))
-    added = F.concat(F.flatten(F.transform(told(ADDED[0]), beside)), added)
-    return df.withColumn(into, F.concat(into, added))
+        def cut(hits: Column) -> Column:
+            parts = F.aggregate(hits, begin, lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), grown(a, b["start"]).alias("out")), lambda a: grown(a, c["end"]))
+            head = _between(F.col(pieces), c["start"], F.get(hits, F.lit(0))["start"])
+            return F.when(head.rlike("^(?:" + PATTERNS["secret"] + ")"), parts).otherwise(F.slice(parts, 1, 0))
+        return F.when(meets(c), _let(F.array_sort(F.concat(*(_met(F.col(base[k]), c) for k in BASE))), cut)).otherwise(F.array(c))
+
+    def meets(c: Column) -> Column:
+        return F.greatest(*(_meets(F.col(base[k]), c) for k in BASE))
+
+    df = docs.withColumn(pieces, _pieces(text))
+    df = df.withColumns({base[k]: told(k) for k in BASE})
+    added = F.filter(F.concat(*(told(k) for k in ADDED[1:])), lambda c: ~meets(c))
+    secrets = F.flatten(F.transform(told(ADDED[0]), beside))
+    return df.withColumn(into, F.concat(*(F.col(base[k]) for k in BASE), secrets, added)).drop(pieces, *base.values())
 
 
 def fit(found: DataFrame, into: str = "candidates", rounds: int = ROUNDS) -> list[str]:
@@ -286,13 +354,12 @@ def listed(found: Column) -> Column:
 def redacted(text: Column, found: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
-    def step(a: Column, s: Column) -> Column:
-        end = -s["back"]
-        fresh = s["start"] >= a["at"]
-        piece = F.concat(a["out"], text.substr(a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.when(fresh, piece).otherwise(a["out"]).alias("out"), F.greatest(end, a["at"]).alias("at"))
+    def joined(pieces: Column, spans: Column) -> Column:
+        def shown(at: Column, s: Column) -> Column:
+            return F.when(s["start"] >= at, F.concat(_between(pieces, at, s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(F.lit(""))
+        reached = _running(F.transform(spans, lambda s: -s["back"]), lambda a, x: F.greatest(a, x))
+        rest = _between(pieces, -F.array_min(F.transform(spans, lambda s: s["back"])), F.length(text))
+        return F.concat(F.array_join(F.zip_with(reached, spans, shown), ""), rest)
 
-    rest = F.aggregate(ordered, begin, step, lambda a: F.concat(a["out"], text.substr(a["at"] + 1, F.length(text) - a["at"])))
-    return F.when(F.size(found) > 0, rest).otherwise(text)
+    return F.when(F.size(found) > 0, _let(_pieces(text), lambda pieces: _let(ordered, lambda spans: joined(pieces, spans)))).otherwise(text)

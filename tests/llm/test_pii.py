@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -101,3 +102,61 @@ def test_query_whole_table(spark, sf):
                 assert kind in pii.ADDED and re.search("AKIA|password|token", texts[r.doc_id][int(low):int(high)])
         assert len(re.findall(r"AKIA[0-9A-Z]{16}", texts[r.doc_id] or "")) <= r.spans.count("secret")
     assert added > 5
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["x@y.z " * 50_000, "token=a1b2c3d4e5f6:10.0.0.1:z9 10.0.0.1 é🙂 (988) 555-2485 +49 30 1234567 " * 2_000]
+    df = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    df = df.withColumn("all", pii.spans("candidates", [])).cache()
+    got = {r.doc_id: r for r in df.select("doc_id", pii.listed(F.col("all")).alias("s"), pii.redacted(F.col("text"), F.col("all")).alias("t"), F.size("candidates").alias("n")).collect()}
+    assert got[0].s == ",".join(brute(texts[0])) and got[0].t == "<EMAIL> " * 50_000
+    assert got[1].s == ",".join(brute(texts[1])) and got[1].n == 6 * 2_000  # two addresses, a phone, a national one, two pieces of the secret
+    assert got[1].t == "token=a1b2c3d4e5f6:<IP>:z9 <IP> é🙂 (988) 555-2485 <PHONE> " * 2_000
+
+
+def learned():
+    """Codes as ``fit`` numbers them: (n, kind and votes, features)."""
+    k, rows = len(pii.KINDS), []
+    for i in range(60):
+        votes = [i % k] + [k + 3 * j + (i * (j + 3) // (j + 1)) % 3 for j in range(len(pii.LABELERS))]
+        features, low = [i % k], k
+        for j, values in enumerate(pii.FEATURES):
+            features.append(low + (i * (j + 2) // 3) % len(values))
+            low += len(values)
+        rows.append((float(1 + i * i % 37), votes, features))
+    return rows, low
+
+
+def test_reliabilities_and_classifier_against_brute_force(spark):
+    rows, size = learned()
+    k, labelers = len(pii.KINDS), len(pii.LABELERS)
+    prior = [(5.0, 5.0)] * k + [(8.0, 2.0), (2.0, 8.0), (5.0, 5.0)] * labelers
+
+    def probability(counts, votes):
+        yes, no = counts[votes[0]]
+        for j, v in enumerate(votes[1:]):
+            low = k + 3 * j
+            yes *= counts[v][0] / sum(c[0] for c in counts[low:low + 3])
+            no *= counts[v][1] / sum(c[1] for c in counts[low:low + 3])
+        return yes / (yes + no)
+
+    counts = prior
+    for _ in range(pii.ROUNDS):
+        held = [probability(counts, votes) for _, votes, _ in rows]
+        counts = [(a + sum(n * p for (n, votes, _), p in zip(rows, held) if i in votes), b + sum(n * (1 - p) for (n, votes, _), p in zip(rows, held) if i in votes))
+                  for i, (a, b) in enumerate(prior)]
+    want = [probability(counts, votes) for _, votes, _ in rows]
+    codes = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, n double, votes array<int>, features array<int>")
+    codes = codes.withColumn("p", pii._sigmoid(pii._summed("votes", pii._trusted(codes, pii.ROUNDS))))
+    assert [r.p for r in codes.orderBy("i").collect()] == pytest.approx(want, rel=1e-9)
+
+    weights = [0.0] * size
+    for _ in range(pii.ROUNDS):
+        q = [1 / (1 + math.exp(-sum(weights[f] for f in features))) for _, _, features in rows]
+        steps = []
+        for i in range(size):
+            at = [j for j, (_, _, features) in enumerate(rows) if i in features]
+            gap, bend = sum(rows[j][0] * (want[j] - q[j]) for j in at), sum(rows[j][0] * q[j] * (1 - q[j]) for j in at)
+            steps.append(max(-2.0, min(2.0, (gap - weights[i]) / (bend + 1) / (1 + len(pii.FEATURES)))))
+        weights = [w + s for w, s in zip(weights, steps)]
+    assert pii._classifier(codes, size, pii.ROUNDS) == pytest.approx(weights, rel=1e-6, abs=1e-9)
