@@ -24,7 +24,7 @@ from ..session import materialize, read_note
 
 
 def enrich_batch(rows: DataFrame, lexicon: dict, patterns: list) -> DataFrame:
-    c = rows.withColumn("clean_text", T.clean_text(T.fill_text("comment_text"))).where(F.col("clean_text") != "")
+    c = T.with_clean_text(rows)
     c = score_sentiment(c, "clean_text", lexicon)
     return c.withColumn("entities", extract_entities(F.col("clean_text"), patterns))
 
