@@ -10,9 +10,9 @@ Best-fit decreasing sees nothing of a piece but its length, so the packing is
 planned from the histogram of lengths (at most ``capacity`` rows, whatever the
 corpus), a run of equal lengths and equally filled bins at a time; this gives the
 bins that the one-by-one procedure gives.  Each planned step says "the pieces of
-this length with ranks a..b go to bins c.. at this offset".  Ranks come from
-bucketed counts and their running sums, so a length that a third of all pieces
-share is still ranked by many tasks.
+this length with ranks a..b go to bins c.. at this offset".  A piece's rank is its
+number among those of its length that its task wrote, behind those of the tasks before:
+pieces are numbered as they are written, and no piece is moved to be placed.
 
 The ids are those of the ``tokenizers`` library for the same vocabulary file; they
 are made by the rank-based coder over the vocabulary read from that file, which is
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +40,10 @@ from . import common
 
 CAPACITY = 1_024
 END_ID = 2
-#: Rows that one ranking task sorts, about.
-RANK_ROWS = 50_000
+#: Where a stored piece was numbered (a task of the write), and its number there among those of its length.
+DEAL, NUMBER = "_deal", "_number"
+#: So many (deal, length) pairs are sent to every task; with more, pieces are moved to meet them.
+SENT_PAIRS = 2_500_000
 
 _CODERS: dict[tuple[str, str], tiktoken.Encoding] = {}
 
@@ -175,29 +178,52 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return steps
 
 
+def numbered(pieces: DataFrame) -> DataFrame:
+    """Adds ``DEAL`` and ``NUMBER``, which hold for the rows as one write makes them: store the result before it is read twice."""
+    common.workers_see_package(pieces.sparkSession)
+    names = pieces.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deal, seen = TaskContext.get().partitionId(), np.zeros(1, np.int64)
+        for batch in batches:
+            length = batch.column("length").to_numpy()
+            if not len(length):
+                continue
+            seen = np.concatenate([seen, np.zeros(max(0, int(length.max()) + 1 - len(seen)), np.int64)])
+            order = np.argsort(length, kind="stable")
+            sorted_ = length[order]
+            number = np.empty(len(length), np.int64)
+            number[order] = np.arange(len(length)) - np.searchsorted(sorted_, sorted_, side="left") + seen[sorted_]
+            seen += np.bincount(length, minlength=len(seen))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(np.full(len(length), deal, np.int64)), pa.array(number)], [*names, DEAL, NUMBER])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    return pieces.mapInArrow(run, f"{schema}, {DEAL} long, {NUMBER} long")
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces with a ``length`` in 1..capacity.
 
-    ``pieces`` is read three times: give it a stored table.
+    ``pieces`` is read twice: give it a stored table of :func:`numbered` pieces.  Others are numbered and stored first.
     """
     spark = pieces.sparkSession
     common.workers_see_package(spark)
-    by_length = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    if DEAL not in pieces.columns:
+        pieces = common.stored(numbered(pieces), "numbered-pieces")
+    counts = common.stored(pieces.groupBy(DEAL, "length").agg(F.count("*").alias("n")), "piece-counts")
+    by_length = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     steps = sorted(plan(by_length, capacity))  # bounded by the capacity, not by the corpus
     lengths, ranks, bins, offsets = (np.array(x, np.int64) for x in (zip(*steps) if steps else ((), (), (), ())))
     span = max(by_length.values(), default=0) + 1
     starts = lengths * span + ranks
 
-    buckets = max(1, -(-sum(by_length.values()) // RANK_ROWS))
-    h, bucket, rank = (common.fresh(pieces, c) for c in ("h", "bucket", "rank"))
-    keyed = pieces.withColumn(h, F.xxhash64(*pieces.columns)).withColumn(bucket, F.pmod(F.col(h), F.lit(buckets)))
-    counts = keyed.groupBy(bucket, "length").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(bucket, "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    ranked = keyed.withColumn(rank, F.row_number().over(Window.partitionBy(bucket, "length").orderBy(h)) - 1)
-    ranked = ranked.join(base, [bucket, "length"]).withColumn(rank, F.col(rank) + F.col("base")).select(*pieces.columns, rank)
-
-    names = pieces.columns
+    names = [c for c in pieces.columns if c not in (DEAL, NUMBER)]
+    rank = common.fresh(pieces, "rank")
+    before = Window.partitionBy("length").orderBy(DEAL).rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(DEAL, "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias(rank))
+    if counts.count() <= SENT_PAIRS:
+        base = F.broadcast(base)
+    ranked = pieces.join(base, [DEAL, "length"]).select(*names, (F.col(rank) + F.col(NUMBER)).alias(rank))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,5 +232,5 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             columns = [*(batch.column(c) for c in names), pa.array(bins[step] + (at - starts[step])), pa.array(offsets[step])]
             yield pa.RecordBatch.from_arrays(columns, [*names, "sequence_id", "offset"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name in names)
     return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from commentspark.llm import packing
+from commentspark.sources.bucketed import setting
 
 VOCAB = P.path("byte_bpe_50k.json")
 
@@ -96,3 +97,30 @@ def test_query_matches_tokenizers(spark):
             assert row.start == at and row.ids_crc32 == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
             at, k = at + row.length, k + 1
     assert not got
+
+
+@pytest.mark.parametrize("sent", [packing.SENT_PAIRS, 0])
+def test_stored_pieces_are_placed_where_they_lie(spark, tmp_path, monkeypatch, sent):
+    """A piece's ids are not shuffled to be placed, unless the counts are too many to send to the tasks."""
+    monkeypatch.setattr(packing, "SENT_PAIRS", sent)
+    rng = random.Random(7)
+    rows = [(i, 0, rng.choice([1, 3, 500, 1024, rng.randint(1, 1024)]), b"ids") for i in range(3000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length long, ids binary").repartition(7)
+    packing.numbered(pieces).write.parquet(str(tmp_path / "pieces"))
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        out = packing.pack(spark.read.parquet(str(tmp_path / "pieces")))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(_deal" in line]
+    assert bool(moved) == (not sent)
+    assert out.columns == ["doc_id", "piece", "length", "ids", "sequence_id", "offset"]
+    by_seq = defaultdict(list)
+    for r in out.collect():
+        by_seq[r.sequence_id].append((r.offset, r.length, r.doc_id))
+    assert sorted(d for s in by_seq.values() for _, _, d in s) == list(range(3000))
+    for s in by_seq.values():
+        at = 0
+        for offset, length, _ in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(by_seq) == len(one_by_one([r[2] for r in rows], 1024))
