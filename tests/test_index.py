@@ -250,3 +250,16 @@ def test_sketches_merge(spark, tmp_path):
     assert total.n == 40_000 and abs(total.n_distinct - 9000) <= SK.error_bound() * 9000
     for r in SK.merged(kept, ["g"]).collect():
         assert abs(r.n_distinct - 3000) <= SK.error_bound() * 3000
+
+
+def test_typed_entities_are_not_parsed(spark):
+    """A list of entities becomes what its JSON does, without being parsed again."""
+    rows = [("v", str(i), "text", e) for i, e in enumerate([None, [], [("a \"b\"\n\\é😀", "PERSON")], [("x" * 900, None), None, (None, "GPE")]])]
+    typed = spark.createDataFrame(rows, "video_id string, comment_id string, clean_text string, entities array<struct<text:string,label:string>>")
+    out = IX.prepare_index_rows(typed)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "JsonToStructs" not in plan
+    parsed = IX.prepare_index_rows(typed.withColumn("entities", F.to_json("entities")))
+    assert "from_json" in parsed._jdf.queryExecution().optimizedPlan().toString()
+    order = lambda df: sorted(df.select("id", "entities", "entity_list", "entities_truncated").collect(), key=lambda r: r.id)
+    assert order(out) == order(parsed)

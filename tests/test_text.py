@@ -43,3 +43,15 @@ def test_stop_words_are_those_of_spark_ml(spark):
 def test_custom_stop_words(spark):
     df = spark.createDataFrame([(["a", "b", "c"],)], "t array<string>")
     assert df.select(T.remove_stop_words(F.col("t"), ("b",)).alias("g")).first().g == ["a", "c"]
+
+
+def test_nonblank_is_what_strip_leaves(spark):
+    from pyspark.sql import functions as F
+
+    from commentspark.functions import text as T
+
+    rows = [(t,) for t in (None, "", " ", "\n", " \t\x0b\x1c\x1f\x85 　", " a ", "\n.\n", "​", "\x00", "\U0001f600", "a\n")]
+    df = spark.createDataFrame(rows, "t string")
+    out = df.select("t", T.is_nonblank("t").alias("is"), F.coalesce(T.strip_ws("t") != "", F.lit(False)).alias("due"))
+    assert all(r["is"] == r.due for r in out.collect())
+    assert "regexp_replace" not in out.select("is")._jdf.queryExecution().optimizedPlan().toString()
