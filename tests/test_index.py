@@ -226,6 +226,66 @@ def test_saved_topic_model_gives_topics_to_new_comments(spark, tmp_path):
     assert "Exchange" not in plan_of(again.assign(new))
 
 
+def test_online_topics_are_those_of_spark(spark):
+    import numpy as np
+    from pyspark.ml.clustering import LDA
+    from pyspark.ml.feature import CountVectorizerModel
+    from pyspark.ml.functions import vector_to_array
+
+    from commentspark.operators import online_lda as O
+    from commentspark.operators.topics import tokens_of
+    from commentspark.session import materialize
+
+    words = [f"w{i:02d}" for i in range(60)]
+    rows = [(i, " ".join(words[(i % 3 * 20 + i * j * j) % 60] for j in range(i % 37 * (9 if i % 50 == 7 else 1)))) for i in range(200)]
+    docs = materialize(spark.createDataFrame(rows, "doc_id long, clean_text string").repartition(3, "doc_id").sortWithinPartitions("doc_id"), "lda-test")
+    tokens = tokens_of(docs, "doc_id", "clean_text")
+    counted = O.count_vectors(tokens, words)
+    found = O.fit_online(counted, len(words), 4, 6, 42)
+    vectors = CountVectorizerModel.from_vocabulary(words, inputCol="tokens", outputCol="features").transform(tokens)
+    want = LDA(k=4, maxIter=6, seed=42, optimizer="online", subsamplingRate=1.0, optimizeDocConcentration=False, topicDistributionCol="dist").fit(vectors)
+    np.testing.assert_allclose(found.weights, want.topicsMatrix().toArray().T, rtol=1e-5)
+    dist = {r.id: r.d for r in want.transform(vectors).select("id", vector_to_array("dist").alias("d")).collect()}
+    mine = {r.id: r.topic_dist for r in found.distributions(counted).collect()}
+    # A document between two topics may end at either: Spark's model starts its inference elsewhere.
+    assert mine.keys() == dist.keys() and np.mean([np.allclose(mine[i], dist[i], atol=5e-3) for i in dist]) > 0.8
+    assert all(mine[r.id] == [0.0] * 4 for r in counted.where("size(ids) = 0").collect())
+    assert [(t, w) for t, _, w, _ in found.top_terms(3)] == [(r.topic, w) for r in want.describeTopics(3).orderBy("topic").collect() for w in r.termIndices]
+
+
+def test_documents_are_inferred_alike_in_any_company(monkeypatch):
+    import numpy as np
+
+    from commentspark.operators import online_lda as O
+
+    rng = np.random.default_rng(5)
+    size = rng.integers(1, 60, 90)
+    ids = np.concatenate([np.sort(rng.choice(80, n, replace=False)) for n in size])
+    counts = rng.integers(1, 9, len(ids)).astype(float)
+    beta, start = O.exp_expectation(rng.gamma(2.0, 0.5, (5, 80))).T.copy(), rng.gamma(100.0, 0.01, 5)
+    ends = np.cumsum(size)
+    alone = [O.infer(ids[e - n:e], counts[e - n:e], size[i:i + 1], beta, start, 0.2) for i, (e, n) in enumerate(zip(ends, size))]
+    for terms in (1, 200, 1 << 15):
+        monkeypatch.setattr(O, "GROUP_TERMS", terms)
+        for got, want in zip(O.infer(ids, counts, size, beta, start, 0.2), zip(*alone)):
+            np.testing.assert_allclose(got, np.concatenate(want), rtol=1e-8)
+    monkeypatch.setattr(O, "HELD_TERMS", 7)
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"ids": pa.array([[1] * n for n in (3, 0, 9, 4, 4, 0)], pa.list_(pa.int32()))})
+    held = [[len(x) for x in t.column("ids").to_pylist()] for t in O._held(iter([batch, batch]))]
+    assert sum(held, []) == [3, 0, 9, 4, 4, 0] * 2 and max(map(sum, held)) <= 9
+
+
+def test_token_stats_are_those_of_counted_terms(spark):
+    from commentspark.functions.text import term_counts
+    from commentspark.operators import keywords as K
+
+    tokens = spark.createDataFrame([(i, ["a", "b"] * (i % 3) + ["c"] * (i % 2) + ["é"]) for i in range(20)] + [(99, []), (100, None)], "id long, tokens array<string>")
+    counted = tokens.select(term_counts(F.col("tokens")).alias("counts"))
+    got, want = ([tuple(r) for r in v.orderBy("term_rank").collect()] for v in (K.vocabulary_of_tokens(tokens, 3, 2, 0.95), K.vocabulary(counted, 3, 2, 0.95)))
+    assert got == want and len(got) == 3
+
+
 def test_text_is_not_shuffled_for_keywords(spark):
     from commentspark.operators import keywords as K
 
